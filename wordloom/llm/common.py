@@ -180,4 +180,4 @@ def saved(df: DataFrame) -> DataFrame:
 def blocks_for(df: DataFrame, bytes_each: int = 8 << 20) -> int:
     """A number of blocks for a table, from the size that Spark's own statistics give it."""
     stats = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return max(1, min(1 << 20, int(str(stats.toString())) // bytes_each + 1))
+    return max(1, min(1 << 16, int(str(stats)) // bytes_each + 1))
