@@ -78,7 +78,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd base modulo 2**64, and those of its inverse."""
     if len(_POWERS.get("up", ())) < n:
         for name, base in (("up", _BASE), ("down", _INVERSE)):
-            p = np.full(max(n, SLICE_BYTES), base, dtype=U64)
+            p = np.full(max(n, (1 << 20) + 4096), base, dtype=U64)
             p[0] = 1
             _POWERS[name] = np.multiply.accumulate(p)
     return _POWERS["up"][:n], _POWERS["down"][:n]
@@ -124,11 +124,21 @@ class Words:
         self.end = np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.start, off)
         if hashed:
-            up, down = _powers(n + 1)
-            prefix = np.zeros(n + 1, dtype=U64)
-            np.cumsum((self.data.astype(U64) + U64(1)) * up[:n], out=prefix[1:])
-            h = (prefix[self.end] - prefix[self.start]) * down[self.start]
-            self.hash = mix(h + (self.end - self.start).astype(U64) * U64(0xD6E8FEB86659FD93))
+            self.hash = self._hashes()
+
+    def _hashes(self, piece: int = 1 << 20) -> np.ndarray:
+        """Polynomial hashes of the words, from prefix sums over pieces of about ``piece`` bytes."""
+        out, i, total = np.empty(len(self.start), dtype=U64), 0, len(self.start)
+        while i < total:
+            j = max(i + 1, int(np.searchsorted(self.end, self.start[i] + piece, side="right")))
+            a, b = int(self.start[i]), int(self.end[j - 1])
+            up, down = _powers(b - a + 1)
+            prefix = np.zeros(b - a + 1, dtype=U64)
+            np.cumsum((self.data[a:b].astype(U64) + U64(1)) * up[:-1], out=prefix[1:])
+            s, e = self.start[i:j] - a, self.end[i:j] - a
+            out[i:j] = (prefix[e] - prefix[s]) * down[s] + (e - s).astype(U64) * U64(0xD6E8FEB86659FD93)
+            i = j
+        return mix(out)
 
     def document_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
@@ -181,3 +191,43 @@ def blocks_for(df: DataFrame, bytes_each: int = 8 << 20) -> int:
     """A number of blocks for a table, from the size that Spark's own statistics give it."""
     stats = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return max(1, min(1 << 16, int(str(stats)) // bytes_each + 1))
+
+
+# --- documents in blocks -------------------------------------------------------------------------
+
+
+def block_of(id_column, blocks: int):
+    return F.pmod(F.xxhash64(id_column), F.lit(blocks)).cast("int")
+
+
+def blocked(docs: DataFrame, blocks: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(b, packed): docs (doc_id, text, carried columns) dealt over blocks by id, compressed, in the shared folder, partitioned by b.
+
+    Steps that ask other parts of the cluster about a block's contents get their answers by block, so
+    the texts themselves move once.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, limit=16 << 20):
+                b = np.asarray(part.column(part.num_columns - 1))
+                order = np.argsort(b, kind="stable")
+                values, first = np.unique(b[order], return_index=True)
+                table = part.select(part.schema.names[:-1]).take(pa.array(order))
+                packed = []
+                for i, j in zip(first, [*first[1:], len(order)]):
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
+                        w.write_batch(table.slice(i, j - i))
+                    packed.append(sink.getvalue().to_pybytes())
+                yield pa.record_batch([pa.array(values, pa.int32()), pa.array(packed, pa.binary())], names=["b", "packed"])
+
+    rows = docs.select("doc_id", "text", *carry).withColumn("block", block_of(F.col("doc_id"), blocks)).mapInArrow(run, "b int, packed binary")
+    return saved(rows.repartition(min(blocks, 4096), "b"))
+
+
+def unpacked(table: pa.Table) -> pa.Table:
+    """A block's documents in a fixed order: by id, equal ids by text."""
+    parts = [pa.ipc.open_stream(x.as_py()).read_all() for x in table.column("packed")]
+    docs = pa.concat_tables(parts)
+    return docs.take(pc.sort_indices(docs, sort_keys=[("doc_id", "ascending"), ("text", "ascending")])).combine_chunks()
