@@ -196,8 +196,9 @@ def blocks_for(df: DataFrame, bytes_each: int = 8 << 20) -> int:
 # --- documents in blocks -------------------------------------------------------------------------
 
 
-def block_of(id_column, blocks: int):
-    return F.pmod(F.xxhash64(id_column), F.lit(blocks)).cast("int")
+def block_of(blocks: int):
+    """The block of a row (doc_id, text); rows without an id are dealt by their text."""
+    return F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.xxhash64("text"))), F.lit(blocks)).cast("int")
 
 
 def blocked(docs: DataFrame, blocks: int, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -222,7 +223,7 @@ def blocked(docs: DataFrame, blocks: int, carry: tuple[str, ...] = ()) -> DataFr
                     packed.append(sink.getvalue().to_pybytes())
                 yield pa.record_batch([pa.array(values, pa.int32()), pa.array(packed, pa.binary())], names=["b", "packed"])
 
-    rows = docs.select("doc_id", "text", *carry).withColumn("block", block_of(F.col("doc_id"), blocks)).mapInArrow(run, "b int, packed binary")
+    rows = docs.select("doc_id", "text", *carry).withColumn("block", block_of(blocks)).mapInArrow(run, "b int, packed binary")
     return saved(rows.repartition(min(blocks, 4096), "b"))
 
 

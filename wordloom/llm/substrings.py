@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wordloom.llm.common import U64, Words, blocked, blocks_for, mix, read_table, saved, unpacked, window_hash
 
@@ -152,8 +153,11 @@ class _Block:
         return at, window_hash(self.words.hash, w, 11)[at]
 
 
-def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None = None, blocks: int | None = None) -> DataFrame:
-    """doc_id, text (kept words joined by one space), n_words, n_removed; ``carry`` names other columns to keep."""
+def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None = None, blocks: int | None = None, untouched: bool = False) -> DataFrame:
+    """doc_id, text (kept words joined by one space), n_words, n_removed; ``carry`` names other columns to keep.
+
+    With ``untouched``, texts that lose nothing keep their white space.
+    """
     carry = list(carry or [])
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
     blocks = blocks or max(8, blocks_for(docs, 3 << 20))
@@ -224,9 +228,11 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
     told = answers.withColumn("step", F.lit(1)).unionByName(found.withColumn("step", F.lit(2)))
     schema = T.StructType([*base.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
+    empty_like = pa.schema([(f.name, f.type) for f in to_arrow_schema(schema)]).empty_table()
+
     def cut(key, table, told):
         if not table.num_rows:
-            return pa.table([pa.array([], pa.int64())] * 0)
+            return empty_like
         block = _Block(table, shards, width)
         block.named()
         steps = told.column("step").to_pylist()
@@ -241,6 +247,9 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
         first = block.words.first
         before = np.concatenate(([0], np.cumsum(gone)))
         texts = [block.words.kept_text(d, ~gone[first[d] : first[d + 1]]).decode() for d in range(len(first) - 1)]
+        if untouched:
+            old = block.docs.column("text").to_pylist()
+            texts = [t if before[b] > before[a] else o for t, o, a, b in zip(texts, old, first, first[1:])]
         cols = {c: block.docs.column(c) for c in block.docs.column_names} | {"text": pa.array(texts, pa.string())}
         cols |= {"n_words": pa.array(np.diff(first), pa.int64()), "n_removed": pa.array(before[first[1:]] - before[first[:-1]], pa.int64())}
         return pa.table(cols)
