@@ -224,7 +224,15 @@ def blocked(docs: DataFrame, blocks: int, carry: tuple[str, ...] = ()) -> DataFr
                 yield pa.record_batch([pa.array(values, pa.int32()), pa.array(packed, pa.binary())], names=["b", "packed"])
 
     rows = docs.select("doc_id", "text", *carry).withColumn("block", block_of(blocks)).mapInArrow(run, "b int, packed binary")
-    return saved(rows.repartition(min(blocks, 4096), "b"))
+    # with fewer partitions than a shuffle has, the joins by block would deal the texts anew
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(blocks, 4096))
+    conf, name = docs.sparkSession.conf, "spark.sql.adaptive.enabled"
+    adaptive = conf.get(name)
+    conf.set(name, "false")  # an adaptive plan doesn't tell how its rows are partitioned; the table's readers want to know
+    try:
+        return saved(rows.repartition(parts, "b"))
+    finally:
+        conf.set(name, adaptive)
 
 
 def unpacked(table: pa.Table) -> pa.Table:
