@@ -53,11 +53,6 @@ def set_hash(s: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-def own_name(h1: int) -> int:
-    """The name of a class whose smallest id another class has too, or that has no id: its hash, as a negative number."""
-    return h1 if h1 < 0 else h1 - (1 << 63)
-
-
 def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
@@ -220,7 +215,7 @@ def classes(docs: DataFrame, n: int = N) -> DataFrame:
 class _Block:
     """The sets of a block's documents that stand for a class, in a fixed order."""
 
-    def __init__(self, table: pa.Table, chosen: np.ndarray, n: int, shards: int):
+    def __init__(self, table: pa.Table, chosen: np.ndarray, hashes: np.ndarray, n: int, shards: int):
         docs = unpacked(table)
         ids = np.array([NO_ID if i is None else i for i in docs.column("doc_id").to_pylist()], dtype=np.int64)
         alone = np.ones(len(ids), dtype=bool)
@@ -232,12 +227,11 @@ class _Block:
         docs, ids, alone = docs.filter(pa.array(keep)), ids[keep], alone[keep]
         sets = shingles(Words(docs.column("text"), lower=True), n) if len(ids) else []
         if not alone.all():  # rows that share an id: one for each class among them that is asked for
-            left, pick = set(chosen.tolist()), np.ones(len(ids), dtype=bool)
+            names, pick = dict(zip(hashes.tolist(), chosen.tolist())), np.ones(len(ids), dtype=bool)
             for k in np.flatnonzero(~alone).tolist():
-                name = own_name(set_hash(sets[k])[0])
-                ids[k] = ids[k] if ids[k] in left else name
-                pick[k] = int(ids[k]) in left
-                left.discard(int(ids[k]))
+                name = names.pop(set_hash(sets[k])[0], None)
+                pick[k] = name is not None
+                ids[k] = ids[k] if name is None else name
             ids, sets = ids[pick], [s for s, p in zip(sets, pick) if p]
         self.ids, self.sets = ids, sets
         self.flat = np.concatenate([np.zeros(0, dtype=U64), *self.sets])
@@ -271,17 +265,17 @@ def similar(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
     shared_ids = F.count("*").over(Window.partitionBy("doc_id", F.when(F.col("doc_id") == NO_ID, F.col("h1")))) > 1
     hashed = F.when(F.col("h1") < 0, F.col("h1")).otherwise(F.col("h1").bitwiseOR(F.lit(NO_ID)))
     reps = saved(reps.select("size", "h1", "h2", "b", F.col("doc_id").alias("least"), F.when((F.col("doc_id") == NO_ID) | shared_ids, hashed).otherwise(F.col("doc_id")).alias("rep")))
-    chosen = reps.select("b", "rep")
+    chosen = reps.select("b", "rep", "h1")
     held = blocked(docs, blocks)
     by_block = held.groupBy("b")
 
-    def ids_of(table):
-        return np.asarray(table.column("rep").combine_chunks(), dtype=np.int64) if table.num_rows else np.zeros(0, np.int64)
+    def ids_of(table, name="rep"):
+        return [np.asarray(table.column(c).combine_chunks(), dtype=np.int64) if table.num_rows else np.zeros(0, np.int64) for c in (name, "h1")]
 
     def rests(key, table, told):
         rows = []
         if table.num_rows:
-            block = _Block(table, ids_of(told), n, shards)
+            block = _Block(table, *ids_of(told), n, shards)
             rows = [(k, block.flat[at].astype("<u4").tobytes()) for k, at in enumerate(block.shards) if len(at)]
         return pa.table([pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["b", "shard", "rest"])
 
@@ -296,12 +290,12 @@ def similar(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
     counts = by_block.cogroup(chosen.groupBy("b")).applyInArrow(rests, "b int, shard int, rest binary")
     counts = counts.groupBy("shard").applyInArrow(counted, "b int, shard int, steps binary")
     none = F.lit(None)
-    told = saved(counts.select("b", "shard", "steps", none.cast("long").alias("rep")).unionByName(chosen.select("b", none.cast("int").alias("shard"), none.cast("binary").alias("steps"), "rep")))
+    told = saved(counts.select("b", "shard", "steps", none.cast("long").alias("rep"), none.cast("long").alias("h1")).unionByName(chosen.select("b", none.cast("int").alias("shard"), none.cast("binary").alias("steps"), "rep", "h1")))
 
     def opened(table, told):
         rep = told.filter(pc_valid(told, "rep"))
         steps = told.filter(pc_valid(told, "steps"))
-        block = _Block(table, ids_of(rep), n, shards)
+        block = _Block(table, *ids_of(rep), n, shards)
         return block.ordered(zip(steps.column("shard").to_pylist(), steps.column("steps").to_pylist()))
 
     def first(key, table, told):
@@ -329,13 +323,13 @@ def similar(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
     meets = meets.select("id", "leader", "own", other)
     meets = meets.select("id", F.col("leader"), F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"))
     going = meets.groupBy("id").agg(F.collect_list(F.struct("leader", "i", "j")).alias("to"))
-    going = going.join(chosen, going.id == chosen.rep).select("b", "id", "to")
+    going = going.join(chosen, going.id == chosen.rep).select("b", "id", "h1", "to")
 
     def sets_of(key, table, told):
         rows = []
         if table.num_rows and told.num_rows:
             to = dict(zip(told.column("id").to_pylist(), told.column("to").to_pylist()))
-            block = _Block(table, np.array(list(to), dtype=np.int64), n, shards)
+            block = _Block(table, *ids_of(told, "id"), n, shards)
             for i, s in zip(block.ids.tolist(), block.sets):
                 raw = s.tobytes()
                 rows += [(x["leader"], x["i"], x["j"], i, raw) for x in to[i]]
