@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import deque
 from functools import lru_cache
 
@@ -29,6 +30,7 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from wordloom.llm.bpe_codec import byte_characters
 from wordloom.llm.common import Memo, id_and_text, read_table, slices
 
 WINDOW, END_ID = 2048, 1
@@ -46,6 +48,7 @@ class ByteTokenizer:
     """
 
     def __init__(self, path: str):
+        import tiktoken
         import tokenizers
 
         self.library = tokenizers.Tokenizer.from_file(path)
@@ -55,13 +58,17 @@ class ByteTokenizer:
         self.ends = np.zeros(self.library.get_vocab_size() + 1, dtype=bool)
         for s, i in names.items():
             self.ends[i] = s[-1] in ".!?" or "Ċ" in s
-        self.memo = Memo(self._key, 1 << 18)
+        # single words of Latin letters: the same merges by a smaller library, over the same vocabulary as ranks
+        byte_of = {c: b for b, c in enumerate(byte_characters())}
+        ranks = {bytes([byte_of[c] for c in s]): i for s, i in names.items() if all(c in byte_of for c in s)}
+        self.fast = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.memo = Memo(self._key)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _key(self, key: str) -> bytes:
-        return self.whole(key if key[:1] == "\n" else " " + key)
+        return array("I", self.fast.encode_ordinary(key if key[:1] == "\n" else " " + key)).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
