@@ -21,6 +21,7 @@ import json
 import mmap
 import re
 import unicodedata
+from array import array
 from collections import Counter
 from functools import lru_cache
 
@@ -233,13 +234,13 @@ def codec(path: str) -> WordCodec:
 class Encoder:
     def __init__(self, path: str, lexicon: Lexicon):
         self.codec, self.lexicon = codec(path), lexicon
-        self.memo = Memo(self._word)
+        self.memo = Memo(self._word, 1 << 20)
 
     def _word(self, word: str) -> tuple[bytes, str]:
         ids = self.lexicon.find(word)
         if ids is None:
             ids = self.codec.encode(word)
-        return np.array(ids, dtype="<u4").tobytes(), " ".join([self.codec.text_of[i] for i in ids])
+        return array("I", ids).tobytes(), " ".join([self.codec.text_of[i] for i in ids])
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """The identifiers as little-endian 32-bit integers, and the decoded text."""

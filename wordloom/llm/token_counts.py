@@ -45,7 +45,7 @@ class PieceCounter:
         self.pairs = {(p[:i], p[i:]): r for p, r in rank.items() for i in range(1, len(p)) if known(p[:i]) and known(p[i:])}
         self.pieces = frozenset(rank)
         self.lines_apart = not any("\n" in p for p in rank)
-        self.memo = Memo(self._chunk)
+        self.memo = Memo(self._chunk, 1 << 20)
 
     def merged_count(self, text: str) -> int:
         pieces = self.pieces
