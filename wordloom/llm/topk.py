@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from wordloom.llm.common import blocks_for, read_table
 
 SCALE, K, EVERY = 64, 20, 20
-QUERY_ROWS, TABLE_BYTES = 256, 4 << 20
+QUERY_ROWS, SPAN, BLOCKS, TABLE_BYTES = 32, 2048, 12, 4 << 20
 SCHEMA = "query_id long, rank int, vec_id long, score long"
 
 
@@ -44,64 +44,92 @@ def weights(column: pa.Array, scale: int) -> np.ndarray:
 
 
 class Postings:
-    """The posting lists of a block of candidates."""
+    """The posting lists of a block of candidates.
+
+    A list that holds over half of the rows is kept as a row of weights, zeros included, which scatter as one span.
+    """
 
     def __init__(self, ids: np.ndarray, w: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, w = ids[order], w[order]
+        self.ids, w = ids[order], w[order].astype(np.int64)
         self.bound = int(np.abs(w).max(initial=0)) * max(1, w.shape[1])
-        self.lists = [(np.flatnonzero(w[:, t]), w[:, t][w[:, t] != 0]) for t in range(w.shape[1])]
+        self.kind = np.int32 if self.bound < 1 << 31 else np.int64
+        self.lists = []
+        for column in np.ascontiguousarray(w.T).astype(self.kind):
+            at = np.flatnonzero(column)
+            self.lists.append((None, column) if 2 * len(at) > len(column) else (at, column[at]))
 
     def scores(self, q: np.ndarray) -> np.ndarray:
-        """Dense scores of query rows q against all candidates of the block."""
+        """Dense scores of query rows q against all candidates, filled in spans that stay in a core's cache."""
         n = len(self.ids)
-        kind = np.int32 if self.bound * int(np.abs(q).max(initial=0)) < 1 << 31 else np.int64
+        kind = self.kind if self.bound * int(np.abs(q).max(initial=0)) < 1 << 31 else np.int64
         acc = np.zeros((len(q), n), dtype=kind)
-        part = np.empty_like(acc)
+        terms = []
         for t in range(min(q.shape[1], len(self.lists))):
-            rows, at = np.flatnonzero(q[:, t]), self.lists[t][0]
-            if not len(rows) or not len(at):
-                continue
-            qw, pw = q[rows, t].astype(kind), self.lists[t][1].astype(kind)
-            if len(rows) == len(q) and len(at) == n:
-                np.multiply(qw[:, None], pw[None, :], out=part)
-                acc += part
-            elif len(at) == n:
-                acc[rows] += qw[:, None] * pw[None, :]
-            else:
-                acc[np.ix_(rows, at)] += qw[:, None] * pw[None, :]
+            rows, (at, pw) = np.flatnonzero(q[:, t]), self.lists[t]
+            if len(rows) and len(pw):
+                rows = None if 2 * len(rows) > len(q) else rows
+                terms.append((rows, (q[:, t] if rows is None else q[rows, t]).astype(kind)[:, None], at, pw.astype(kind, copy=False)))
+        for a in range(0, n, SPAN):
+            b = min(n, a + SPAN)
+            span, part = np.zeros((len(q), b - a), dtype=kind), np.empty((len(q), b - a), dtype=kind)
+            for rows, qw, at, pw in terms:
+                if at is None:
+                    if rows is None:
+                        np.multiply(qw, pw[a:b], out=part)
+                        span += part
+                    else:
+                        span[rows] += qw * pw[a:b]
+                    continue
+                i, j = np.searchsorted(at, (a, b))
+                if i < j:
+                    where = np.arange(len(q)) if rows is None else rows
+                    span[where[:, None], at[i:j] - a] += qw * pw[i:j]
+            acc[:, a:b] = span
         return acc
 
     def best(self, query_ids: np.ndarray, q: np.ndarray, k: int):
         """(query row, vec_id, score) of each query's best k here."""
         acc = self.scores(q)
+        own = np.searchsorted(self.ids, query_ids, "left"), np.searchsorted(self.ids, query_ids, "right")
         rows, ids, scores = [], [], []
-        for i in range(len(q)):
-            s = acc[i]
-            other = self.ids != query_ids[i]
-            at = np.flatnonzero(other)
-            if len(at) > k:
-                v = s[at]
-                least = np.partition(v, len(v) - k)[len(v) - k]
-                over, tied = at[v > least], at[v == least]
+        for i, (lo, hi) in enumerate(zip(own[0].tolist(), own[1].tolist())):
+            s, names = acc[i], self.ids
+            if lo < hi:
+                s, names = np.concatenate((s[:lo], s[hi:])), np.concatenate((names[:lo], names[hi:]))
+            at = np.arange(len(s))
+            if len(s) > k:
+                least = np.partition(s, len(s) - k)[len(s) - k]
+                over, tied = np.flatnonzero(s > least), np.flatnonzero(s == least)
                 at = np.concatenate((over, tied[: k - len(over)]))  # ids rise, so the first ties are the smallest
             rows.append(np.full(len(at), i))
-            ids.append(self.ids[at])
+            ids.append(names[at])
             scores.append(s[at].astype(np.int64))
         return np.concatenate(rows), np.concatenate(ids), np.concatenate(scores)
 
 
+def _packed(w: np.ndarray) -> bytes:
+    """Weights as the narrowest integers that hold them; the reader tells the width from the size."""
+    top = int(np.abs(w).max(initial=0))
+    return w.astype("<i2" if top < 1 << 15 else "<i4" if top < 1 << 31 else "<i8").tobytes()
+
+
+def _unpacked(raw: bytes, rows: int, width: int) -> np.ndarray:
+    each = len(raw) // max(1, rows * width) or 8
+    return np.frombuffer(raw, f"<i{each}").reshape(rows, width)
+
+
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding", blocks: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the best k candidates of every query."""
     found = vectors(candidates, id_col, vector_col)
-    blocks = blocks or max(4, blocks_for(candidates.select(vector_col), TABLE_BYTES))
+    blocks = blocks or max(BLOCKS, blocks_for(candidates.select(vector_col), TABLE_BYTES))
     asked = vectors(queries, id_col, vector_col)
 
     def pack(key, table):
         w = weights(table.column("v"), scale)
         ids = np.asarray(table.column("vec_id"), dtype="<i8")
         order = np.argsort(ids, kind="stable")
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([w.shape[1]], pa.int32()), pa.array([ids[order].tobytes()], pa.binary()), pa.array([w[order].astype("<i8").tobytes()], pa.binary())], names=["b", "width", "ids", "w"])
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([w.shape[1]], pa.int32()), pa.array([ids[order].tobytes()], pa.binary()), pa.array([_packed(w[order])], pa.binary())], names=["b", "width", "ids", "w"])
 
     packed = "b int, width int, ids binary, w binary"
     query_blocks = max(1, blocks_for(queries.select(vector_col), TABLE_BYTES) // 2)
@@ -115,9 +143,9 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, scale: int = SC
             for row in batch.to_pylist():
                 if row["b"] != last:
                     last = row["b"]
-                    postings = Postings(np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["w"], "<i8").reshape(-1, row["width"]))
+                    postings = Postings(np.frombuffer(row["ids"], "<i8"), _unpacked(row["w"], len(row["ids"]) // 8, row["width"]))
                 ids = np.frombuffer(row["q_ids"], "<i8")
-                w = np.frombuffer(row["q_w"], "<i8").reshape(len(ids), row["q_width"])
+                w = _unpacked(row["q_w"], len(ids), row["q_width"]).astype(np.int64)
                 for i in range(0, len(ids), QUERY_ROWS):
                     part = ids[i : i + QUERY_ROWS]
                     r, v, s = postings.best(part, w[i : i + QUERY_ROWS], k)
