@@ -9,7 +9,8 @@ therefore carries the range of words that its existence depends on.
 1. Every block of documents names its texts.  Symbols of ``SPAN`` words or more go to shards of
    the name space, which answer, in order, whether a name occurs more than once anywhere.
 2. A window of ``width`` words can only repeat if each symbol that lies, with all that it depends on, inside the
-   window is shared.  The windows that pass are verified: their 64-bit hashes (beside the bits that chose the shard)
+   window is shared.  The windows that pass are verified: of equal ones in a block the one with the smallest id
+   is asked about, for all of them; the 64-bit hashes (beside the bits that chose the shard)
    and ids go to shards, which answer whether a smaller id has the same window.
 3. Words covered by such windows go.  Windows are judged on the input, not on what is left.
 
@@ -137,8 +138,9 @@ class _Block:
         self.name_shards = _dealt(self.names, self.shards)
         return s
 
-    def windows(self, answers) -> tuple[np.ndarray, np.ndarray]:
-        """The first words of the windows that may repeat, and their hashes."""
+    def windows(self, answers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The windows that may repeat: first words, owners' ids, and for each the place of the equal window here with the
+        smallest id; then the places that stand for others (themselves included) and their hashes."""
         shared = _collected(answers, self.name_shards, len(self.names))
         n, w = len(self.words.hash), self.width
         spoilt = np.zeros(n + 1, dtype=np.int64)  # windows over an unshared symbol
@@ -150,7 +152,14 @@ class _Block:
         last = np.repeat(self.words.first[1:], count) - w  # the last window of each word's text
         fine = (np.cumsum(spoilt[:n]) == 0) & (np.arange(n) <= last)
         at = np.flatnonzero(fine)
-        return at, window_hash(self.words.hash, w, 11)[at]
+        ids = self.ids[np.searchsorted(self.words.first, at, side="right") - 1]
+        h = window_hash(self.words.hash, w, 11)[at]
+        order = np.lexsort((ids, h))
+        new = np.concatenate((np.ones(min(1, len(h)), dtype=bool), h[order[1:]] != h[order[:-1]]))
+        stands = np.empty(len(h), dtype=np.int64)
+        stands[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        heads = np.sort(order[new])
+        return at, ids, stands, heads, h[heads]
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None = None, blocks: int | None = None, untouched: bool = False) -> DataFrame:
@@ -198,13 +207,14 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
             return empty([("b", pa.int32()), ("shard", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
         block = _Block(table, shards, width)
         block.named()
-        at, h = block.windows(zip(told.column("shard").to_pylist(), told.column("bits").to_pylist()))
-        doc = np.searchsorted(block.words.first, at, side="right") - 1
+        _, ids, _, heads, h = block.windows(zip(told.column("shard").to_pylist(), told.column("bits").to_pylist()))
+        ids = ids[heads]
         rows = []
         for s, k in enumerate(_dealt(h, shards)):
             if len(k):
-                d, n = np.unique(doc[k], return_counts=True)
-                rows.append((s, block.ids[d].tobytes(), n.astype("<u4").tobytes(), h[k].tobytes()))
+                begins = np.flatnonzero(np.concatenate(([True], ids[k[1:]] != ids[k[:-1]])))
+                n = np.diff(np.append(begins, len(k)))
+                rows.append((s, ids[k[begins]].tobytes(), n.astype("<u4").tobytes(), h[k].tobytes()))
         return pa.table([pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[c] for r in rows], pa.binary()) for c in (1, 2, 3))], names=["b", "shard", "ids", "counts", "hashes"])
 
     def earlier(key, table):
@@ -237,8 +247,10 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
         block.named()
         steps = told.column("step").to_pylist()
         rows = list(zip(told.column("shard").to_pylist(), told.column("bits").to_pylist()))
-        at, h = block.windows([r for r, s in zip(rows, steps) if s == 1])
-        repeated = at[_collected([r for r, s in zip(rows, steps) if s == 2], _dealt(h, shards), len(h))]
+        at, ids, stands, heads, h = block.windows([r for r, s in zip(rows, steps) if s == 1])
+        told_of = np.zeros(len(at), dtype=bool)
+        told_of[heads] = _collected([r for r, s in zip(rows, steps) if s == 2], _dealt(h, shards), len(h))
+        repeated = at[told_of[stands] | (ids[stands] < ids)]
         n = len(block.words.hash)
         cover = np.zeros(n + 1, dtype=np.int64)
         cover[repeated] += 1
