@@ -22,6 +22,7 @@ smaller than each other, and a null id is smaller than every other.
 
 from __future__ import annotations
 
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -114,6 +115,19 @@ def _bits(x: np.ndarray) -> bytes:
     return np.packbits(x).tobytes()
 
 
+def _owners(ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ids and how many hashes each has, compressed: steps between ids, one byte plane after another."""
+    both = np.concatenate((np.diff(ids, prepend=0), counts)).astype("<i8")
+    return zlib.compress(both.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _owned(raw: bytes) -> np.ndarray:
+    """The id of each hash."""
+    both = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
+    ids, counts = np.split(both, 2)
+    return np.repeat(np.cumsum(ids), counts)
+
+
 def _collected(answers, shards: list[np.ndarray], n: int) -> np.ndarray:
     """The flags of n hashes from the shards' packed answers."""
     out = np.zeros(n, dtype=bool)
@@ -200,11 +214,11 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
     names = by_block.applyInArrow(symbols, "b int, shard int, names binary")
     answers = saved(names.groupBy("shard").applyInArrow(shared, "b int, shard int, bits binary"))
 
-    sent = "b int, shard int, ids binary, counts binary, hashes binary"
+    sent = "b int, shard int, owners binary, hashes binary"
 
     def windows(key, table, told):
         if not table.num_rows:
-            return empty([("b", pa.int32()), ("shard", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
+            return empty([("b", pa.int32()), ("shard", pa.int32()), ("owners", pa.binary()), ("hashes", pa.binary())])
         block = _Block(table, shards, width)
         block.named()
         _, ids, _, heads, h = block.windows(zip(told.column("shard").to_pylist(), told.column("bits").to_pylist()))
@@ -214,12 +228,12 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
             if len(k):
                 begins = np.flatnonzero(np.concatenate(([True], ids[k[1:]] != ids[k[:-1]])))
                 n = np.diff(np.append(begins, len(k)))
-                rows.append((s, ids[k[begins]].tobytes(), n.astype("<u4").tobytes(), h[k].tobytes()))
-        return pa.table([pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[c] for r in rows], pa.binary()) for c in (1, 2, 3))], names=["b", "shard", "ids", "counts", "hashes"])
+                rows.append((s, _owners(ids[k[begins]], n), h[k].tobytes()))
+        return pa.table([pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[c] for r in rows], pa.binary()) for c in (1, 2))], names=["b", "shard", "owners", "hashes"])
 
     def earlier(key, table):
         hashes = [np.frombuffer(x.as_py(), "<u8") for x in table.column("hashes")]
-        ids = [np.repeat(np.frombuffer(i.as_py(), "<i8"), np.frombuffer(n.as_py(), "<u4")) for i, n in zip(table.column("ids"), table.column("counts"))]
+        ids = [_owned(x.as_py()) for x in table.column("owners")]
         h, d = np.concatenate(hashes), np.concatenate(ids)
         order = np.argsort(h, kind="stable")
         hs, ds = h[order], d[order]
