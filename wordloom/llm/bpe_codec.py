@@ -257,6 +257,17 @@ class Encoder:
         return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts if p[0]])
 
 
+_encoders: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder_of(path: str, name: str, broadcast) -> Encoder:
+    """The worker's encoder for a lexicon of that name: a worker's tasks share its memo, and it keeps one lexicon's only."""
+    if (path, name) not in _encoders:
+        _encoders.clear()
+        _encoders[path, name] = Encoder(path, Lexicon(mapped(broadcast)))
+    return _encoders[path, name]
+
+
 def frequent_words(docs: DataFrame, path: str, lexicon_size: int) -> list[str]:
     """The ``lexicon_size`` most frequent words of docs (doc_id, text), at the driver: bounded by that parameter."""
 
@@ -280,10 +291,10 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, lexicon_size: int = 32768,
     spark = docs.sparkSession
     c = codec(tokenizer_path)
     lexicon = compiled({w: tuple(c.encode(w)) for w in frequent_words(docs, tokenizer_path, lexicon_size)})
-    shared = spark.sparkContext.broadcast(lexicon)
+    shared, name = spark.sparkContext.broadcast(lexicon), hashlib.sha256(lexicon).hexdigest()
 
     def run(batches):
-        encoder = Encoder(tokenizer_path, Lexicon(mapped(shared)))
+        encoder = encoder_of(tokenizer_path, name, shared)
         for batch in batches:
             for part in slices(batch):
                 done = [encoder.encode(t or "") for t in part.column(1).to_pylist()]
