@@ -18,8 +18,8 @@ ORACLE_SQL = None
 
 
 def _bundled(docs: DataFrame) -> DataFrame:
-    """doc_id, text and all columns in one, which no operator looks into."""
-    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    """doc_id, text and all other columns in one, which no operator looks into; texts move once."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
 
 
 def _unbundled(df: DataFrame, like: DataFrame, text) -> DataFrame:
@@ -30,7 +30,8 @@ def _unbundled(df: DataFrame, like: DataFrame, text) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold stay."""
     model = quality.fit(id_and_text(docs), quality.labelled(spark, sf_dir))
-    scored = quality.quality_scores(_bundled(docs), model, carry=["row"])
+    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # nothing is shuffled here
+    scored = quality.quality_scores(whole, model, carry=["row"])
     return scored.where(F.col("score") >= quality.THRESHOLD).select("row.*")
 
 
