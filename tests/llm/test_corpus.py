@@ -225,6 +225,31 @@ def test_similar_edges(spark, edge):
     assert sorted((x.n_shingles, x.component_id or -1) for x in jaccard.similar(twice).collect()) == [(2, -1), (2, -1), (2, 1), (2, 1)]
 
 
+def test_links_do_not_depend_on_the_order_of_rows():
+    r = random.Random(4)
+    sets = [np.unique(np.array([r.randrange(9) if r.random() < 0.1 else k for k in range(10, 40)], dtype="<u8")) for _ in range(12)]
+    found = set()
+    for _ in range(20):
+        order = r.sample(range(12), 12)
+        t = jaccard.links_of(jaccard.pa.table({"id": order, "set": [sets[i].tobytes() for i in order]}))
+        found.add(tuple(sorted(zip(t.column("a").to_pylist(), t.column("b").to_pylist()))))
+    assert len(found) == 1 and len(found.pop()) > 5
+
+
+def test_components_of_links_that_turn_round(spark, tmp_path):
+    def links(batches):
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                mark = tmp_path / str(i)
+                turned = mark.exists()
+                mark.touch()
+                a, b = 2 * i, 2 * i + 1
+                yield jaccard.pa.record_batch({"a": [b if turned else a], "b": [a if turned else b]})
+
+    out = jaccard.components(spark.range(5).mapInArrow(links, "a long, b long"))
+    assert sorted(map(tuple, out.collect())) == [(i, i - i % 2) for i in range(10)]
+
+
 def test_packing(spark, edge):
     from tokenizers import Tokenizer
 

@@ -184,9 +184,18 @@ def link_sets(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int,
 # --- steps ---------------------------------------------------------------------------------------
 
 
+def links_of(table: pa.Table, percent: int = PERCENT) -> pa.Table:
+    """Links (a, b) that span the components of a cell's sets (id, set), the same in whatever order the rows come."""
+    table = table.sort_by("id")
+    ids = table.column("id").to_pylist()
+    links = link_sets([np.frombuffer(x.as_py(), "<u8") for x in table.column("set")], percent)
+    return pa.table([pa.array([ids[x] for x, _ in links], pa.int64()), pa.array([ids[y] for _, y in links], pa.int64())], names=["a", "b"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each end of the edges (a, b) reaches."""
-    both = saved(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    edges = saved(edges.select("a", "b"))  # read twice below: computed twice, links of one component may differ
+    both = saved(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     label = saved(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component")))
     while True:
         near = both.join(label, both.b == label.id).groupBy(F.col("a").alias("n")).agg(F.min("component").alias("m"))
@@ -339,9 +348,7 @@ def similar(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
     met = by_block.cogroup(going.groupBy("b")).applyInArrow(sets_of, "leader long, i int, j int, id long, set binary")
 
     def linked(key, table):
-        ids = table.column("id").to_pylist()
-        links = link_sets([np.frombuffer(x.as_py(), "<u8") for x in table.column("set")], percent)
-        return pa.table([pa.array([ids[x] for x, _ in links], pa.int64()), pa.array([ids[y] for _, y in links], pa.int64())], names=["a", "b"])
+        return links_of(table, percent)
 
     found = components(met.groupBy("leader", "i", "j").applyInArrow(linked, "a long, b long"))
     named = reps.join(found, reps.rep == found.id, "left").select("size", "h1", "h2", "least", F.coalesce("component", "rep").alias("c"))
