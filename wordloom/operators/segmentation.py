@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from wordloom.functions.bounded import read_bounded
 
 FEWER = 1000.0
+MOST_WORDS = 2_000_000
 
 
 class Lexicon:
@@ -102,7 +103,7 @@ def piece_counts(stretches: DataFrame, words: dict[str, int], chars=None, mode:
     return cut.join(once, "stretch").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
-def reestimated(stretches: DataFrame, words: DataFrame, passes: int = 6, most_words: int = 2_000_000) -> DataFrame:
+def reestimated(stretches: DataFrame, words: DataFrame, passes: int = 6, most_words: int = MOST_WORDS) -> DataFrame:
     """piece, n after so many passes: the longest-first cut starts, then counts of each pass weigh the next one's cut."""
     lexicon = {r.text: 1 for r in read_bounded(words.select("text").distinct(), most_words)}
     counts = piece_counts(stretches, lexicon, mode="greedy")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions import keys
-from wordloom.functions.bounded import settled
+from wordloom.functions.bounded import read_bounded, settled
 from wordloom.operators import admission, completion, counting, curation, evaluation, fragments, lexicon, patterns, segmentation, single_char, transitions, validation, variants
 from wordloom.streaming import incremental
 
@@ -344,19 +344,20 @@ def leave_one_domain_out_eval(spark, d):
 
 def _stretches(spark, d):
     wc = word_counts(spark, d)
-    words = {r.text: r.n for r in wc.where((F.length("text") >= 2) & (F.col("n") >= 20)).orderBy(F.desc("n"), "text").limit(20_000).collect()}
-    return wc.select(F.col("text").alias("stretch"), "n"), words
+    return wc.select(F.col("text").alias("stretch"), "n"), wc.where((F.length("text") >= 2) & (F.col("n") >= 20))
 
 
 @query()
 def greedy_segmentation_counts(spark, d):
-    return segmentation.piece_counts(*_stretches(spark, d), mode="greedy")
+    """The lexicon is whole; over segmentation.MOST_WORDS words it is an error."""
+    s, words = _stretches(spark, d)
+    return segmentation.piece_counts(s, {r.text: r.n for r in read_bounded(words, segmentation.MOST_WORDS)}, mode="greedy")
 
 
 @query()
 def min_word_segmentation_counts(spark, d):
-    s, words = _stretches(spark, d)
-    return segmentation.reestimated(s, spark.createDataFrame([(w,) for w in words] or [("",)], "text string"), passes=3)
+    """The lexicon is whole; over segmentation.MOST_WORDS words it is an error."""
+    return segmentation.reestimated(*_stretches(spark, d), passes=3)
 
 
 @query(f"""WITH {_WC}, ch AS (SELECT substring(text, 1, 1) AS char, regexp_replace(text, '[^a-z]', '', 'g')[1:1] AS reading, sum(n)::BIGINT AS weight, min(text) AS ord, count(*)::DOUBLE AS rate FROM wc WHERE regexp_replace(text, '[^a-z]', '', 'g') <> '' GROUP BY 1, 2),
