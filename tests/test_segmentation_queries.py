@@ -47,3 +47,13 @@ def test_lexicon_is_whole(spark, tmp_path, name):
     counts = {"".join(w): 20 for w in product("abcdefghijkl", repeat=4)} | {"llllkkk": 3, "lllllab": 1}
     assert len(counts) > 20_002
     assert pieces(spark, tmp_path, name, counts) == brute(counts, 1 if name.startswith("greedy") else 2)
+
+
+@pytest.mark.parametrize("name, passes", [("greedy_segmentation_counts", 1), ("min_word_segmentation_counts", 6)])
+def test_counts_that_settle_late(spark, tmp_path, name, passes):
+    r = random.Random(22)
+    counts = {"".join(r.choice("abc") for _ in range(r.randint(2, 4))): r.randint(20, 30) for _ in range(14)}
+    for _ in range(40):
+        counts.setdefault("".join(r.choice("abc") for _ in range(r.randint(5, 8))), r.randint(1, 19))
+    assert brute(counts, 3) != brute(counts, 6)
+    assert pieces(spark, tmp_path, name, counts) == brute(counts, passes)

@@ -357,7 +357,7 @@ def greedy_segmentation_counts(spark, d):
 @query()
 def min_word_segmentation_counts(spark, d):
     """The lexicon is whole; over segmentation.MOST_WORDS words it is an error."""
-    return segmentation.reestimated(*_stretches(spark, d), passes=3)
+    return segmentation.reestimated(*_stretches(spark, d))
 
 
 @query(f"""WITH {_WC}, ch AS (SELECT substring(text, 1, 1) AS char, regexp_replace(text, '[^a-z]', '', 'g')[1:1] AS reading, sum(n)::BIGINT AS weight, min(text) AS ord, count(*)::DOUBLE AS rate FROM wc WHERE regexp_replace(text, '[^a-z]', '', 'g') <> '' GROUP BY 1, 2),
