@@ -49,6 +49,19 @@ def test_quality_edges(spark, edge):
     assert len(out) == len(EDGE) and all(0 <= r.score <= 1 for r in out)
 
 
+def test_quality_of_long_words(spark):
+    word = "".join(random.Random(8).choice("abcdefgh日") for _ in range(9000))
+    raw = f"<{word}>".encode()
+    whole = [zlib.crc32(word.encode()), *(zlib.crc32(raw[i : i + n], n) for n in (3, 4, 5) for i in range(len(raw) - n + 1))]
+    assert Counter(quality.features(word)) == Counter(x & (quality.BUCKETS - 1) for x in whole)
+    weights = np.random.default_rng(1).normal(size=quality.BUCKETS).astype(np.float32)
+    docs = spark.createDataFrame([(1, word), (2, "short")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in quality.quality_scores(docs, (weights, 0.1)).collect()}
+    for i, w in ((1, word), (2, "short")):
+        f = quality.features(w)
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(weights[f].astype(float).sum() / (len(f) + quality.CALM) + 0.1))))
+
+
 def test_language_on_held_out_rows(spark):
     big = SMALL.replace("0.001", "0.01")
     out = queries.op2_language_id(spark, big).join(read_table(spark, big, "documents").select("doc_id", "lang"), "doc_id").where("held_out").toPandas()

@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
+from itertools import chain
 from operator import eq
 
 import numpy as np
@@ -32,21 +34,41 @@ from wordloom.llm.common import Memo, id_and_text, read_table, remainder, slices
 
 BUCKETS, WIDTH, SHORT, LONG = 1 << 17, 8, 3, 5
 AGAIN, CALM = 0, 60
+PIECE, KEPT = 4096, 256
 THRESHOLD = 0.7
 
 
+def _pieces(word: str) -> Iterator[list[int]]:
+    """features(), by pieces of a long word."""
+    marked = f"<{word}>".encode()
+    out = [zlib.crc32(marked[1:-1]) & (BUCKETS - 1)]
+    for at in range(0, len(marked), PIECE):
+        part = marked[at : at + PIECE + LONG - 1]
+        for n in range(SHORT, LONG + 1):
+            out += [zlib.crc32(part[i : i + n], n) & (BUCKETS - 1) for i in range(min(PIECE, len(part) - n + 1))]
+        yield out
+        out = []
+
+
 def features(word: str) -> list[int]:
     """The buckets of a word and of its character n-grams."""
-    raw, marked = word.encode(), f"<{word[:40]}>".encode()
-    out = [zlib.crc32(raw) & (BUCKETS - 1)]
-    for n in range(SHORT, LONG + 1):
-        out += [zlib.crc32(marked[i : i + n], n) & (BUCKETS - 1) for i in range(len(marked) - n + 1)]
-    return out
+    return [b for piece in _pieces(word) for b in piece]
+
+
+class _Words(Memo):
+    """A memo that keeps nothing of long words."""
+
+    def __init__(self, compute, long, size=1 << 19):
+        super().__init__(compute, size)
+        self.long = long
+
+    def __missing__(self, word):
+        return super().__missing__(word) if len(word) <= KEPT else self.long(word)
 
 
 def _bags(batches):
     """doc_id, label, and the distinct features of the text with their counts."""
-    memo = Memo(features, 1 << 16)
+    memo = _Words(features, lambda w: chain.from_iterable(_pieces(w)), 1 << 16)
     for batch in batches:
         for part in slices(batch):
             ids, counts = [], []
@@ -119,10 +141,9 @@ def quality_scores(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str
         weights = weights.astype(float).tolist()
 
         def word(w):
-            f = features(w)
-            return complex(sum(map(weights.__getitem__, f)), len(f))
+            return sum((complex(sum(map(weights.__getitem__, f)), len(f)) for f in _pieces(w)), 0j)
 
-        memo, again = Memo(word), complex(weights[AGAIN], 1)
+        memo, again = _Words(word, word), complex(weights[AGAIN], 1)
 
         def text(t):
             words = (t or "").split()
