@@ -73,6 +73,20 @@ def test_language_edges(spark, edge):
     assert {r.lang_pred for r in out} == {"und"} and len(out) == len(EDGE)
 
 
+def test_every_language_is_learned(spark):
+    name = lambda k: chr(97 + k // 26) + chr(97 + k % 26)
+    docs = spark.createDataFrame([(k, name(k) * 4, name(k)) for k in range(205)], "doc_id long, text string, lang string").coalesce(1).cache()
+    assert sorted(language.fit(docs)) == sorted(name(k) for k in range(205))
+    with pytest.raises(ValueError):
+        language.fit(docs, most=204)
+
+
+def test_short_texts_fill_the_characters(spark):
+    docs = spark.createDataFrame([(k, f"{'abcdefghij'[k % 10]} word", "q") for k in range(3000)], "doc_id long, text string, lang string").coalesce(2)
+    assert language.fit(docs)["q"][2] == 3000 * 7 + 1
+    assert 0.95 * 5000 < language.fit(docs, chars=5000, sample=10)["q"][2] * 6 / 7 <= 5001
+
+
 def test_phrases_are_longest_matches():
     r = random.Random(5)
     for _ in range(200):

@@ -9,7 +9,8 @@ Phrases don't cross the edges of words, whose marks belong to them: a word's num
 then a property of the word, which workers memoise.  Digits and signs tell nothing and are left out.
 
 The automata are fitted on a bounded sample: at most ``chars`` characters of whole documents for each
-language, drawn by a hash of the id.  Null texts and texts without a letter are ``und`` with score 0;
+language, drawn by a hash of the id until the characters are full or the documents end.  Every value of
+lang is learned; over 1,000 of them is an error.  Null texts and texts without a letter are ``und`` with score 0;
 so is every text when there is nothing to learn from.  Equal costs go to the first language by name.
 """
 
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.functions.bounded import read_bounded
 from wordloom.llm.common import Memo, id_and_text, read_table, remainder, slices
 
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -82,22 +84,37 @@ def phrases(arcs: dict[int, int], codes: list[int]) -> int:
     return n - (state == 0)
 
 
-def fit(docs: DataFrame, chars: int = 60_000, sample: int = 400) -> dict[str, tuple[np.ndarray, np.ndarray, int]]:
-    """An automaton for each value of lang in docs (doc_id, text, lang)."""
-    use = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    names = [r.lang for r in use.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()]
-    out = {}
-    for name in sorted(names):
-        drawn = use.where(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "text").limit(sample)
-        parts, n = [], 0
-        for r in drawn.toLocalIterator():
-            words = words_of(r.text)
+def _drawn(docs: DataFrame, chars: int, batch: int) -> list[str]:
+    """The words of whole documents by the hash of the id, each that still fits in ``chars``, until they are full."""
+    order = [F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("i"), F.xxhash64("text").alias("t")]
+    rows = docs.where("text <> ''").select(F.struct(*order).alias("at"), "text")
+    parts, n, after = [], 0, None
+    while n <= 0.95 * chars:
+        rest = rows if after is None else rows.where(F.col("at") > F.struct(F.lit(after.h), F.lit(after.i).cast("long"), F.lit(after.t)))
+        if parts:
+            rest = rest.where(F.length("text") <= chars - n)
+        got = rest.orderBy("at").limit(batch).collect()
+        had = n
+        for r in got:
             if parts and n + len(r.text) > chars:
                 continue
-            parts += words
+            parts += words_of(r.text)
             n += len(r.text)
             if n > 0.95 * chars:
                 break
+        if len(got) < batch:
+            break
+        after = got[-1].at
+        batch *= 2 if n - had < chars // 8 else 1  # short texts
+    return parts
+
+
+def fit(docs: DataFrame, chars: int = 60_000, sample: int = 400, most: int = 1000) -> dict[str, tuple[np.ndarray, np.ndarray, int]]:
+    """An automaton for each value of lang in docs (doc_id, text, lang), at most ``most`` values; documents come ``sample`` or more at a time."""
+    use = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    out = {}
+    for name in sorted(r.lang for r in read_bounded(use.select("lang").distinct(), most)):
+        parts = _drawn(use.where(F.col("lang") == name).select(F.col("doc_id").cast("long").alias("doc_id"), "text"), chars, sample)
         if parts:
             out[name] = SuffixAutomaton(" " + " ".join(parts) + " ").flat()
     return out
