@@ -87,6 +87,12 @@ def test_short_texts_fill_the_characters(spark):
     assert 0.95 * 5000 < language.fit(docs, chars=5000, sample=10)["q"][2] * 6 / 7 <= 5001
 
 
+def test_phrases_of_a_huge_word(spark):
+    model = {k: language.SuffixAutomaton(t).flat() for k, t in (("a", " " + "abc " * 250), ("b", " " + "я" * 1000 + " "))}
+    docs = spark.createDataFrame([(1, "я" * 1_048_600), (2, "abc abc")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language.languages(docs, model).collect()} == {1: "b", 2: "a"}
+
+
 def test_phrases_are_longest_matches():
     r = random.Random(5)
     for _ in range(200):

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from wordloom.functions.bounded import read_bounded
 from wordloom.llm.common import Memo, id_and_text, read_table, remainder, slices
 
+#: Of a field of phrase counts: a text is under 2**31 bytes, with at most two phrases a character.
+BITS = 40
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -130,12 +132,12 @@ def languages(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: st
         bits = np.array([math.log2(shared.value[k][2] + 2) for k in names])
 
         def word(w):
-            """The phrase counts of a word for all languages, 20 bits each, in one integer."""
+            """The phrase counts of a word for all languages, BITS each, in one integer."""
             codes = [32, *map(ord, w), 32]
-            return sum([phrases(a, codes) << 20 * k for k, a in enumerate(automata)])
+            return sum([phrases(a, codes) << BITS * k for k, a in enumerate(automata)])
 
         memo = Memo(word, 1 << 18)
-        low = (1 << 20) - 1
+        low = (1 << BITS) - 1
         for batch in batches:
             for part in slices(batch):
                 pred, score = [], []
@@ -146,9 +148,9 @@ def languages(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: st
                         score.append(0.0)
                         continue
                     total = np.zeros(len(names))
-                    for i in range(0, len(words), 2048):  # so that no field of 20 bits runs over
+                    for i in range(0, len(words), 2048):
                         packed = sum(map(memo.__getitem__, words[i : i + 2048]))
-                        total += [(packed >> 20 * k) & low for k in range(len(names))]
+                        total += [(packed >> BITS * k) & low for k in range(len(names))]
                     rate = total * bits / (sum(map(len, words)) + len(words))
                     best = int(np.argmin(rate))
                     e = np.exp(-4 * (rate - rate[best]))
