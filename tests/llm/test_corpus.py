@@ -283,6 +283,19 @@ def test_components_of_links_that_turn_round(spark, tmp_path):
     assert sorted(map(tuple, out.collect())) == [(i, i - i % 2) for i in range(10)]
 
 
+def test_near_copies_that_share_an_id(spark):
+    import corpus_pipeline as C
+
+    near = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    docs = [(5, near + " two"), (5, near + " one"), (5, near.upper() + " ONE"), (9, near), (5, "another text of the same id"), (6, "Another text of THE same id")]
+    docs += [(None, "no id at all here"), (None, "no id at all here"), (7, "no id at all here"), (8, ""), (8, ""), (10, "alone with its words")]
+    df = spark.createDataFrame([(*d, k) for k, d in enumerate(docs)], "doc_id long, text string, k int")
+    out = C.near_copy_stage(spark, df, SMALL)
+    assert out.columns == df.columns
+    # of equal ids the first by text: upper case sorts before lower
+    assert sorted(r.k for r in out.collect()) == [2, 4, 6, 7, 9, 10, 11]
+
+
 def test_packing(spark, edge):
     from tokenizers import Tokenizer
 

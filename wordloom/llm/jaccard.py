@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordloom.llm.common import U64, Words, block_of, blocked, blocks_for, id_and_text, mix, read_table, saved, slices, unpacked, window_hash
 
@@ -208,15 +209,32 @@ def components(edges: DataFrame) -> DataFrame:
         label = new.select("id", "component")
 
 
+def _hashed(texts: pa.Array, n: int) -> list[pa.Array]:
+    """size, h1, h2 of each text's set."""
+    sets = shingles(Words(texts, lower=True), n)
+    hs = [set_hash(s) for s in sets]
+    return [pa.array([len(s) for s in sets], pa.int64()), *(pa.array([h[k] for h in hs], pa.int64()) for k in (0, 1))]
+
+
+def with_class(docs: DataFrame, n: int = N) -> DataFrame:
+    """docs (text and other columns) with size, h1, h2: the class of the text."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, limit=2 << 20):
+                texts = part.column(part.schema.get_field_index("text"))
+                yield pa.RecordBatch.from_arrays([*part.columns, *_hashed(texts, n)], names=[*part.schema.names, "size", "h1", "h2"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in ("size", "h1", "h2"))]))
+
+
 def classes(docs: DataFrame, n: int = N) -> DataFrame:
     """doc_id, b, size of its set, and two 64-bit hashes of the set, for docs (doc_id, text, b)."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, limit=2 << 20):
-                sets = shingles(Words(part.column(1), lower=True), n)
-                hs = [set_hash(s) for s in sets]
-                yield pa.record_batch([part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([h[k] for h in hs], pa.int64()) for k in (0, 1))], names=["doc_id", "b", "size", "h1", "h2"])
+                yield pa.record_batch([part.column(0), part.column(2), *_hashed(part.column(1), n)], names=["doc_id", "b", "size", "h1", "h2"])
 
     return docs.mapInArrow(run, "doc_id long, b int, size long, h1 long, h2 long")
 
@@ -264,6 +282,14 @@ class _Block:
 
 def similar(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None, group: int = GROUP) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
+    own, named = grouped(docs, n, percent, id_col, text_col, blocks, group)
+    out = own.join(named.drop("c"), ["size", "h1", "h2"], "left")
+    back = lambda c: F.when(c == NO_ID, F.lit(None)).otherwise(c).cast("long")
+    return out.select(back(F.col("doc_id")).alias("doc_id"), F.col("size").alias("n_shingles"), back(F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
+    """The class (size, h1, h2) of every row (doc_id: NO_ID for null), and component_id of every class that has words; c tells components of one id apart."""
     blocks = blocks or max(8, blocks_for(docs, 3 << 20))
     docs = id_and_text(docs, id_col, text_col)
     shards = max(8, blocks)
@@ -353,10 +379,7 @@ def similar(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
     found = components(met.groupBy("leader", "i", "j").applyInArrow(linked, "a long, b long"))
     named = reps.join(found, reps.rep == found.id, "left").select("size", "h1", "h2", "least", F.coalesce("component", "rep").alias("c"))
     least = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "c").select("size", "h1", "h2", "component_id")
-    out = own.join(named, ["size", "h1", "h2"], "left")
-    back = lambda c: F.when(c == NO_ID, F.lit(None)).otherwise(c).cast("long")
-    return out.select(back(F.col("doc_id")).alias("doc_id"), F.col("size").alias("n_shingles"), back(F.coalesce("component_id", "doc_id")).alias("component_id"))
+    return own, named.join(least, "c").select("size", "h1", "h2", "component_id", "c")
 
 
 def pc_valid(table: pa.Table, column: str) -> pa.ChunkedArray:
