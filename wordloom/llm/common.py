@@ -140,6 +140,11 @@ class Words:
             i = j
         return mix(out)
 
+    def word_prefixes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Prefix sums of the words' hashes as polynomials, and the factors that shift a difference back to its start."""
+        up, down = _powers(len(self.hash) + 1)
+        return np.concatenate((np.zeros(1, dtype=U64), np.cumsum(self.hash * up[:-1], dtype=U64))), down
+
     def document_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
@@ -187,10 +192,26 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def blocks_for(df: DataFrame, bytes_each: int = 8 << 20) -> int:
-    """A number of blocks for a table, from the size that Spark's own statistics give it."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return max(1, min(1 << 16, int(str(stats)) // bytes_each + 1))
+def table_bytes(df: DataFrame, column: str) -> int:
+    """About how large df is: Spark's own statistics where its leaves are files, which it doesn't read for that; else the measured column."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    leaves = [leaves.apply(i) for i in range(leaves.size())]
+    if all(x.nodeName().startswith(("LogicalRelation", "RelationV2")) for x in leaves):
+        return min(int(str(x)) for x in (plan.stats().sizeInBytes(), sum(int(str(x.stats().sizeInBytes())) for x in leaves)))
+    return df.agg(F.sum(F.octet_length(F.col(column).cast("string")))).first()[0] or 0
+
+
+def blocks_for(df: DataFrame, bytes_each: int = 8 << 20, column: str = "text") -> int:
+    """A number of blocks for a table; it grows with the table, without an end."""
+    return max(1, min((1 << 31) - 1, table_bytes(df, column) // bytes_each + 1))
+
+
+def dealt(shard: np.ndarray) -> dict[int, np.ndarray]:
+    """The places of each shard that occurs, in order: its size follows the entries, however many shards there are."""
+    order = np.argsort(shard, kind="stable")
+    values, first = np.unique(shard[order], return_index=True)
+    return dict(zip(values.tolist(), np.split(order, first[1:])))
 
 
 # --- documents in blocks -------------------------------------------------------------------------
@@ -225,7 +246,7 @@ def blocked(docs: DataFrame, blocks: int, carry: tuple[str, ...] = ()) -> DataFr
 
     rows = docs.select("doc_id", "text", *carry).withColumn("block", block_of(blocks)).mapInArrow(run, "b int, packed binary")
     # with fewer partitions than a shuffle has, the joins by block would deal the texts anew
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(blocks, 4096))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(blocks, max(4096, blocks // 256)))
     conf, name = docs.sparkSession.conf, "spark.sql.adaptive.enabled"
     adaptive = conf.get(name)
     conf.set(name, "false")  # an adaptive plan doesn't tell how its rows are partitioned; the table's readers want to know

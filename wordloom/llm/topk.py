@@ -122,7 +122,7 @@ def _unpacked(raw: bytes, rows: int, width: int) -> np.ndarray:
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding", blocks: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the best k candidates of every query."""
     found = vectors(candidates, id_col, vector_col)
-    blocks = blocks or max(BLOCKS, blocks_for(candidates.select(vector_col), TABLE_BYTES))
+    blocks = blocks or max(BLOCKS, blocks_for(candidates.select(vector_col), TABLE_BYTES, vector_col))
     asked = vectors(queries, id_col, vector_col)
 
     def pack(key, table):
@@ -132,7 +132,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, scale: int = SC
         return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([w.shape[1]], pa.int32()), pa.array([ids[order].tobytes()], pa.binary()), pa.array([_packed(w[order])], pa.binary())], names=["b", "width", "ids", "w"])
 
     packed = "b int, width int, ids binary, w binary"
-    query_blocks = max(1, blocks_for(queries.select(vector_col), TABLE_BYTES) // 2)
+    query_blocks = max(1, blocks_for(queries.select(vector_col), TABLE_BYTES, vector_col) // 2)
     c = found.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).groupBy("b").applyInArrow(pack, packed)
     q = asked.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")).groupBy("b").applyInArrow(pack, packed)
     q = q.withColumnsRenamed({"b": "qb", "width": "q_width", "ids": "q_ids", "w": "q_w"}).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
