@@ -5,11 +5,13 @@ its polynomial in two bases modulo two primes.  Hashes of neighbouring chunks co
 length-shifted arithmetic, hash(xy) = hash(x) * base**len(y) + hash(y), so the chunks of a huge text (over ``HUGE``
 characters) are hashed by many tasks and combined afterwards, and any other text by one task.
 
-Rows with the same fingerprint and length are then compared: a group's texts, dealt over as many
-salts as the group needs, meet the chunks of the row that would stay, chunk by chunk, as streams of
-a sorted join.  Should texts differ in spite of equal fingerprints, the ones that differ are grouped by their text.
+Rows with the same fingerprint and length form a group.  Only texts that may be of a group move: a bitmap of the groups'
+fingerprints (at most ``BITMAP_BITS`` bits) drops the others where they are read.  Equality is then shown chunk by chunk: a group's texts
+are equal if at each place the smallest and the largest chunk are one.  That is an aggregate, so copies collapse
+before they are shuffled and a group of any size costs one chunk a task and place.
+Should texts differ in spite of equal fingerprints, the group falls apart by their SHA-256 digests.
 
-Of equal texts the row with the largest id stays.  Rows that share that id all stay.
+Of equal texts the row with the largest id stays.  Rows that share that id all stay.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.common import id_and_text, read_table, saved, slices
 
-CHUNK, HUGE, PER_SALT = 1 << 16, 4 << 20, 256
+CHUNK, HUGE = 1 << 16, 4 << 20
+BITMAP_BITS = 1 << 29
 PRIMES, BASES = (2147483647, 2147483629), (1000003, 998244353)
 NO_ID = -(1 << 63)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -101,21 +104,61 @@ def fingerprints(docs: DataFrame, huge: int = HUGE) -> DataFrame:
     return small.unionByName(large)
 
 
-def _with_fingerprint(docs: DataFrame) -> DataFrame:
-    """doc_id, fp, n_bytes, text (normalised)."""
+def _slot(fp, bits: int):
+    """The place of a fingerprint in a bitmap of a power of two bits: of a column, or of numbers."""
+    mask = bits - 1
+    return (fp ^ (fp // (1 << 31))) & mask if isinstance(fp, np.ndarray) else fp.bitwiseXOR(F.shiftright(fp, 31)).bitwiseAND(F.lit(mask))
+
+
+def bitmap(groups: DataFrame) -> bytes:
+    """The groups' fingerprints as a bitmap of at most ``BITMAP_BITS`` bits, about eight a group while it has room; built by the executors."""
+    n = groups.count()
+    bits = min(BITMAP_BITS, max(1 << 16, 1 << (8 * n).bit_length()))
+    slots = groups.select((_slot(F.col("fp"), bits) + 1).alias("s")).select(F.bitmap_bucket_number("s").alias("bucket"), F.bitmap_bit_position("s").alias("bit"))
+    out = bytearray(bits // 8)
+    for r in slots.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("raw")).collect():  # bits / 32768 rows of 4 KiB
+        at = (r.bucket - 1) * 4096
+        out[at : at + 4096] = r.raw[: len(out) - at]
+    return bytes(out)
+
+
+def _members(docs: DataFrame, marks: bytes) -> DataFrame:
+    """fp, n_bytes, doc_id, raw (normalised) of the texts whose fingerprint is marked; a text over ``HUGE`` isn't treated here."""
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches):
+        bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for part in slices(batch):
                 raw = [(t or "").encode().lower() for t in part.column(1).to_pylist()]
-                yield pa.record_batch([part.column(0), pa.array([_packed(fingerprint(r)) for r in raw], pa.int64()), pa.array([len(r) for r in raw], pa.int64()), pa.array(raw, pa.binary())], names=["doc_id", "fp", "n_bytes", "raw"])
+                fp = np.array([_packed(fingerprint(r)) for r in raw], dtype=np.int64)
+                at = _slot(fp, 8 * len(bits))
+                keep = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+                yield pa.record_batch([part.column(0).take(pa.array(keep)), pa.array(fp[keep]), pa.array([len(raw[k]) for k in keep], pa.int64()), pa.array([raw[k] for k in keep], pa.binary())], names=["doc_id", "fp", "n_bytes", "raw"])
 
     return docs.mapInArrow(run, "doc_id long, fp long, n_bytes long, raw binary")
 
 
-def _chunked(df: DataFrame, *keep: str) -> DataFrame:
+def _chunked(df: DataFrame) -> DataFrame:
     last = F.floor(F.greatest(F.length("raw") - 1, F.lit(0)) / CHUNK)
-    return df.select(*keep, F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda k: F.substring("raw", (k * CHUNK + 1).cast("int"), F.lit(CHUNK)))).alias("k", "chunk"))
+    return df.select("fp", "n_bytes", F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda k: F.substring("raw", (k * CHUNK + 1).cast("int"), F.lit(CHUNK)))).alias("k", "chunk"))
+
+
+def unlike_groups(docs: DataFrame, found: DataFrame, groups: DataFrame, huge: int = HUGE) -> DataFrame:
+    """fp, n_bytes of the groups whose texts are not all equal, by comparing all chunks of all their texts."""
+    big = F.coalesce(F.length("text"), F.lit(0)) > huge
+    plain = _chunked(_members(docs.where(~big), bitmap(groups)))
+    # the chunks of a huge text find their group by the text's digest, which the JVM computes
+    large = docs.where(big).select(F.sha2(F.translate("text", UPPER, LOWER).cast("binary"), 256).alias("text_sha256"), "text")
+    named = found.select("text_sha256", "fp", "n_bytes").where(F.col("n_bytes") > huge).distinct().join(groups.select("fp", "n_bytes"), ["fp", "n_bytes"])
+    step = CHUNK // 4
+    parts = F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / step)), lambda k: F.substring("text", k * step + 1, F.lit(step)))).alias("k", "chunk")
+    large = large.join(named, "text_sha256").select("fp", "n_bytes", parts).withColumn("chunk", F.translate("chunk", UPPER, LOWER).cast("binary"))
+    # huge texts and others of one group don't meet place by place: they differ in kind, and count as unlike
+    both = plain.withColumn("huge", F.lit(False)).unionByName(large.withColumn("huge", F.lit(True)))
+    same = both.groupBy("fp", "n_bytes", "huge", "k").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
+    kinds = same.groupBy("fp", "n_bytes").agg(F.max(F.col("least") != F.col("most")).alias("differ"), F.count_distinct("huge").alias("kinds")).where(F.col("differ") | (F.col("kinds") > 1))
+    return kinds.select("fp", "n_bytes").join(groups.select("fp", "n_bytes"), ["fp", "n_bytes"], "left_semi")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -123,30 +166,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     docs = id_and_text(docs, id_col, text_col)
     found = saved(fingerprints(docs))
     order = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
-    groups = found.groupBy("fp", "n_bytes").agg(F.max(order).alias("top"), F.count("*").alias("n")).where("n > 1")
-
-    # the rows of groups, dealt over salts, against the row that would stay
-    members = _with_fingerprint(docs).join(groups, ["fp", "n_bytes"])
-    salts = F.ceil(F.col("n") / PER_SALT).cast("int")
-    rows = _chunked(members.withColumn("salt", F.pmod(F.xxhash64("doc_id"), salts).cast("int")), "fp", "n_bytes", "salt", order.alias("row_id"))
-    top = members.where(order == F.col("top")).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    top = _chunked(top, "fp", "n_bytes", "salt").dropDuplicates(["fp", "n_bytes", "salt", "k"]).withColumnRenamed("chunk", "kept_chunk")
-    met = rows.join(top, ["fp", "n_bytes", "salt", "k"], "left")
-    unlike = met.where(~F.coalesce(F.col("chunk") == F.col("kept_chunk"), F.lit(False))).select("fp", "row_id").distinct()
-    unlike = saved(unlike)
-    plain = groups.select("fp", "n_bytes", F.col("top").alias("keep"), F.col("n").alias("size"))
-    out = found.join(plain, ["fp", "n_bytes"], "left")
+    sized = lambda *by: found.groupBy(*by).agg(F.max(order).alias("top"), F.count("*").alias("n")).where("n > 1")
+    groups = saved(sized("fp", "n_bytes"))
+    unlike = saved(unlike_groups(docs, found, groups))
+    key = ["fp", "n_bytes"]
+    if not unlike.isEmpty():
+        # texts of equal fingerprints that differ are told apart by their whole digest, and grouped anew
+        apart = unlike.withColumn("apart", F.lit(True))
+        found = saved(found.join(apart, key, "left").withColumn("part", F.when(F.col("apart"), F.col("text_sha256")).otherwise("")).drop("apart"))
+        key = [*key, "part"]
+        groups = sized(*key)
+    out = found.join(groups.withColumnRenamed("top", "keep").withColumnRenamed("n", "size"), key, "left")
     own = F.col("doc_id")
-    if unlike.isEmpty():
-        pass
-    else:
-        apart = unlike.withColumnRenamed("row_id", "other").withColumnRenamed("fp", "other_fp")
-        texts = _with_fingerprint(docs).join(F.broadcast(apart) if apart.count() < 10_000 else apart, (order == F.col("other")) & (F.col("fp") == F.col("other_fp")))
-        texts = texts.groupBy("fp", "raw").agg(F.max(order).alias("keep2"), F.count("*").alias("size2"), F.collect_set(order).alias("rows"))
-        texts = texts.select(F.col("fp").alias("fp2"), "keep2", "size2", F.explode("rows").alias("id2"))
-        fewer = texts.groupBy(F.col("fp2").alias("fp3")).agg(F.count("*").alias("gone"))
-        out = out.join(texts, (order == F.col("id2")) & (F.col("fp") == F.col("fp2")), "left").join(fewer, F.col("fp") == F.col("fp3"), "left")
-        out = out.withColumn("keep", F.coalesce("keep2", "keep")).withColumn("size", F.when(F.col("keep2").isNotNull(), F.col("size2")).otherwise(F.col("size") - F.coalesce("gone", F.lit(0))))
     keep = F.when(F.col("keep") == NO_ID, F.lit(None)).otherwise(F.col("keep"))
     keep = F.when(F.col("size").isNull(), own).otherwise(keep).cast("long")
     return out.select("doc_id", keep.alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"), own.eqNullSafe(keep).alias("kept"), "text_sha256")
