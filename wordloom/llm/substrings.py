@@ -1,21 +1,28 @@
 """Removal of repeated word passages by recompression.
 
-Texts are compressed by the same local rules everywhere.  Each round first names maximal runs of one symbol, then
+Texts are compressed by the same rules everywhere.  Each round first names maximal runs of one symbol, then
 pairs: a symbol's name puts it on the left or the right side, and a left one followed by a right one becomes one symbol.
-Names depend on content alone (64 bits, from the names below), so they are global, and equal passages
-have equal symbols inside.  Near its ends, a passage's symbols may depend on its surroundings; each symbol
-therefore carries the range of words that its existence depends on.
-
-1. Every block of documents names its texts.  Symbols of ``SPAN`` words or more go to shards of
-   the name space, which answer, in order, whether a name occurs more than once anywhere.
-2. A window of ``width`` words can only repeat if each symbol that lies, with all that it depends on, inside the
-   window is shared.  The windows that pass are verified: of equal ones in a block the one with the smallest id
-   is asked about, for all of them; the 64-bit hashes (beside the bits that chose the shard)
-   and ids go to shards, which answer whether a smaller id has the same window.
-3. Words covered by such windows go.  Windows are judged on the input, not on what is left.
-
-Runs longer than a window hold no symbol inside it, so the windows within them always pass step 2.
-All that is sent is packed arrays, one for each block and shard: a passage that every document
+A name is 64 bits of what it stands for, so names are global without being handed out: equal passages have
+equal symbols inside, in whatever task they are named.  Near its ends, a passage's symbols may depend on
+its surroundings; each symbol therefore carries the range of words that its existence depends on.
+
+1. Blocks of documents name their texts.  Two kinds of symbols go to shards of the name space, in packed arrays: small ones
+   of round ``LOCAL``, each together with the words that it depends on; and long ones (``LONG`` words or more) of the
+   rounds ``HIGH``, with their smallest id.  The shards answer, in order, whether a small one occurs more
+   than once anywhere, and whether a smaller id has the long one.
+2. A window of ``width`` words can only repeat if each small symbol that lies, with all that it depends on, inside it
+   is shared.  A window inside a long symbol that a smaller id has does repeat.  All others that may
+   are asked about: of equal ones in a block that with the smallest id, for all of them, is sent as 64 bits to a
+   shard that other 64 bits choose, which answers whether a smaller id has the same window.
+   Windows that a long symbol settles need no asking: the smallest id that has the window is never settled and asks.
+3. Words covered by repeated windows go.  Windows are judged on the input, not on what is left.
+
+Equality is judged by hash: two unlike windows are taken for equal only if they agree in 64 bits and, independently, in the
+bits that choose the shard; there are as many shards as blocks, so those bits grow with the table.  For 10**10 different
+windows over 4,096 shards that is 0.0007 expected false matches.
+
+Runs longer than a window hold no symbol inside it, so the windows within them always pass the first test of step 2.
+All that is sent is packed arrays, one for each block and shard that occurs in it: a passage that every document
 holds costs what any other passage costs.  A null or empty text has no words; rows that share an id don't count as
 smaller than each other, and a null id is smaller than every other.
 """
@@ -31,26 +38,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from wordloom.llm.common import U64, Words, blocked, blocks_for, mix, read_table, saved, unpacked, window_hash
+from wordloom.llm.common import U64, Words, blocked, blocks_for, dealt, mix, read_table, saved, unpacked, window_hash
 
-WIDTH, ROUNDS, SPAN = 13, 3, 3
+WIDTH, LOCAL, HIGH, LONG = 13, 1, (11, 13), 20
 NO_ID = -(1 << 63)
 FAR = 1 << 40
 
 
 class Symbols:
-    """The symbols of a block of texts after some rounds: name, first word, end word, and what they depend on."""
+    """The symbols of a block of texts, round by round: name, first word, end word, and what they depend on."""
 
-    def __init__(self, words: Words, rounds: int = ROUNDS):
+    def __init__(self, words: Words):
         n = len(words.hash)
         self.name = words.hash.copy()
         self.start = np.arange(n)
         self.end = self.start + 1
         self.low, self.high = self.start.copy(), self.end.copy()
         self.doc = words.document_of()
-        for r in range(rounds):
-            self._runs(r)
-            self._pairs(r)
+
+    def round(self, r: int) -> None:
+        self._runs(r)
+        self._pairs(r)
 
     def _edges(self) -> np.ndarray:
         """Whether a symbol is the first of its text."""
@@ -103,14 +111,6 @@ class Symbols:
         self._joined(begins, name[begins])
 
 
-def _dealt(hashes: np.ndarray, shards: int) -> list[np.ndarray]:
-    """For each shard the indices of its hashes, in order."""
-    s = (mix(hashes ^ U64(0x5851F42D4C957F2D)) % U64(shards)).astype(np.int64)
-    order = np.argsort(s, kind="stable")
-    ends = np.cumsum(np.bincount(s, minlength=shards))
-    return [order[a:b] for a, b in zip([0, *ends[:-1]], ends)]
-
-
 def _bits(x: np.ndarray) -> bytes:
     return np.packbits(x).tobytes()
 
@@ -128,7 +128,7 @@ def _owned(raw: bytes) -> np.ndarray:
     return np.repeat(np.cumsum(ids), counts)
 
 
-def _collected(answers, shards: list[np.ndarray], n: int) -> np.ndarray:
+def _collected(answers, shards: dict[int, np.ndarray], n: int) -> np.ndarray:
     """The flags of n hashes from the shards' packed answers."""
     out = np.zeros(n, dtype=bool)
     for s, raw in answers:
@@ -137,43 +137,110 @@ def _collected(answers, shards: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
+class _Asked:
+    """Hashes with the ids of their owners; of equal ones that with the smallest id stands for all when shards are asked."""
+
+    def __init__(self, hashes: np.ndarray, places: np.ndarray, ids: np.ndarray, shards: int):
+        """places: independent hashes that choose the shard."""
+        order = np.lexsort((ids, hashes))
+        new = np.concatenate((np.ones(min(1, len(hashes)), dtype=bool), hashes[order[1:]] != hashes[order[:-1]]))
+        self.stands = np.empty(len(hashes), dtype=np.int64)
+        self.stands[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        heads = np.sort(order[new])
+        self.ids, self.heads, self.hashes = ids, heads, hashes[heads]
+        self.shards = dealt(places[heads] % U64(shards))
+
+    def packets(self) -> dict[int, tuple[bytes, bytes]]:
+        """For each shard the owners and the hashes."""
+        ids, out = self.ids[self.heads], {}
+        for s, k in self.shards.items():
+            begins = np.flatnonzero(np.concatenate(([True], ids[k[1:]] != ids[k[:-1]])))
+            out[s] = _owners(ids[k[begins]], np.diff(np.append(begins, len(k)))), self.hashes[k].tobytes()
+        return out
+
+    def earlier(self, answers) -> np.ndarray:
+        """Which of the hashes a smaller id has, here or, by the shards' answers, elsewhere."""
+        told = np.zeros(len(self.ids), dtype=bool)
+        told[self.heads] = _collected(answers, self.shards, len(self.heads))
+        return told[self.stands] | (self.ids[self.stands] < self.ids)
+
+
+def _earlier(hashes: list[np.ndarray], ids: list[np.ndarray]) -> list[bytes]:
+    """For each packet the flags of its hashes: whether a smaller id has it too."""
+    h, d = np.concatenate(hashes), np.concatenate(ids)
+    if not len(h):
+        return [b""] * len(hashes)
+    order = np.argsort(h, kind="stable")
+    hs, ds = h[order], d[order]
+    first = np.flatnonzero(np.concatenate(([True], hs[1:] != hs[:-1])))
+    least = np.repeat(np.minimum.reduceat(ds, first), np.diff(np.append(first, len(hs))))
+    flag = np.empty(len(h), dtype=bool)
+    flag[order] = least < ds
+    return _flags(flag, hashes)
+
+
+def _recurs(hashes: list[np.ndarray]) -> list[bytes]:
+    """For each packet the flags of its hashes: whether it occurs more than once."""
+    h = np.concatenate(hashes)
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    flag, none = np.empty(len(h), dtype=bool), np.zeros(min(1, len(h)), dtype=bool)
+    flag[order] = np.concatenate((same, none)) | np.concatenate((none, same))
+    return _flags(flag, hashes)
+
+
+def _flags(flag: np.ndarray, parts: list[np.ndarray]) -> list[bytes]:
+    ends = np.cumsum([len(p) for p in parts])
+    return [_bits(flag[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+
+
 class _Block:
     """A block's words, symbols and windows; the same in every step."""
 
     def __init__(self, table: pa.Table, shards: int, width: int):
         self.docs, self.shards, self.width = unpacked(table), shards, width
         self.words = Words(self.docs.column("text"))
-        self.ids = np.array([NO_ID if i is None else i for i in self.docs.column("doc_id").to_pylist()], dtype="<i8")
-
-    def named(self) -> Symbols:
+        ids = np.array([NO_ID if i is None else i for i in self.docs.column("doc_id").to_pylist()], dtype="<i8")
+        self.ids = np.repeat(ids, np.diff(self.words.first))  # of each word
+        self.prefix, self.back = self.words.word_prefixes()
         s = Symbols(self.words)
-        wide = s.end - s.start >= SPAN
-        self.low, self.high, self.names = s.low[wide], s.high[wide], s.name[wide]
-        self.name_shards = _dealt(self.names, self.shards)
-        return s
-
-    def windows(self, answers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The windows that may repeat: first words, owners' ids, and for each the place of the equal window here with the
-        smallest id; then the places that stand for others (themselves included) and their hashes."""
-        shared = _collected(answers, self.name_shards, len(self.names))
+        starts, ends, names, places = [], [], [], []
+        for r in range(max(LOCAL, *HIGH) + 1):
+            s.round(r)
+            if r == LOCAL:
+                k = (s.end - s.start >= 2) & (s.low >= 0) & (s.high - s.low <= width)
+                self.low, self.high = s.low[k], s.high[k]
+                self.names = mix(self._content(self.low, self.high) + s.name[k])
+            if r in HIGH:
+                k = s.end - s.start >= max(LONG, width)
+                starts.append(s.start[k])
+                ends.append(s.end[k])
+                names.append(s.name[k])
+                places.append(mix(self._content(s.start[k], s.end[k])))
+        self.start, self.end = np.concatenate(starts), np.concatenate(ends)
+        self.long = _Asked(np.concatenate(names), np.concatenate(places), self.ids[self.start], shards)
+        self.small = dealt(mix(self.names ^ U64(0x5851F42D4C957F2D)) % U64(shards))
+
+    def _content(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """A hash of the words from a to b."""
+        return (self.prefix[b] - self.prefix[a]) * self.back[a]
+
+    def windows(self, small, long) -> tuple[np.ndarray, np.ndarray, _Asked]:
+        """From the answers: first words of the windows that repeat for certain, and of those asked about, with what is asked."""
         n, w = len(self.words.hash), self.width
-        spoilt = np.zeros(n + 1, dtype=np.int64)  # windows over an unshared symbol
-        gone = ~shared & (self.high - self.low <= w)
-        a, b = np.maximum(self.high[gone] - w, 0), np.minimum(self.low[gone] + 1, n)
-        np.add.at(spoilt, a, 1)
-        np.add.at(spoilt, b, -1)
         count = np.diff(self.words.first)
         last = np.repeat(self.words.first[1:], count) - w  # the last window of each word's text
-        fine = (np.cumsum(spoilt[:n]) == 0) & (np.arange(n) <= last)
-        at = np.flatnonzero(fine)
-        ids = self.ids[np.searchsorted(self.words.first, at, side="right") - 1]
-        h = window_hash(self.words.hash, w, 11)[at]
-        order = np.lexsort((ids, h))
-        new = np.concatenate((np.ones(min(1, len(h)), dtype=bool), h[order[1:]] != h[order[:-1]]))
-        stands = np.empty(len(h), dtype=np.int64)
-        stands[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-        heads = np.sort(order[new])
-        return at, ids, stands, heads, h[heads]
+        spoilt = np.zeros(n + 1, dtype=np.int64)  # windows over an unshared symbol
+        gone = ~_collected(small, self.small, len(self.names))
+        np.add.at(spoilt, np.maximum(self.high[gone] - w, 0), 1)
+        np.add.at(spoilt, np.minimum(self.low[gone] + 1, n), -1)
+        sure = np.zeros(n + 1, dtype=np.int64)  # windows within a repeated long symbol
+        found = self.long.earlier(long)
+        np.add.at(sure, self.start[found], 1)
+        np.add.at(sure, self.end[found] - w + 1, -1)
+        sure = np.cumsum(sure[:n]) > 0
+        at = np.flatnonzero((np.cumsum(spoilt[:n]) == 0) & (np.arange(n) <= last) & ~sure)
+        return np.flatnonzero(sure), at, _Asked(window_hash(self.words.hash, w, 11)[at], window_hash(self.words.hash, w, 12)[at], self.ids[at], self.shards)
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None = None, blocks: int | None = None, untouched: bool = False) -> DataFrame:
@@ -191,65 +258,43 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
     def empty(fields):
         return pa.table([pa.array([], f[1]) for f in fields], names=[f[0] for f in fields])
 
+    binary = pa.binary()
+
     def symbols(key, table):
         block = _Block(table, shards, width)
-        block.named()
-        rows = [(s, block.names[at].tobytes()) for s, at in enumerate(block.name_shards) if len(at)]
-        return pa.table([pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["b", "shard", "names"])
+        long = block.long.packets()
+        rows = [(key[0].as_py(), s, block.names[block.small[s]].tobytes() if s in block.small else b"", *long.get(s, (_owners(np.zeros(0, "<i8"), np.zeros(0, "<i8")), b""))) for s in sorted({*block.small, *long})]
+        kinds = (("b", pa.int32()), ("shard", pa.int32()), ("names", binary), ("owners", binary), ("long", binary))
+        return pa.table([pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(kinds)], names=[k for k, _ in kinds])
 
     def shared(key, table):
-        parts = [np.frombuffer(x.as_py(), "<u8") for x in table.column("names")]
-        flat = np.concatenate(parts)
-        order = np.argsort(flat, kind="stable")
-        v = flat[order]
-        same = v[1:] == v[:-1]
-        flag = np.empty(len(v), dtype=bool)
-        flag[order] = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        out, i = [], 0
-        for p in parts:
-            out.append(_bits(flag[i : i + len(p)]))
-            i += len(p)
-        return pa.table([table.column("b"), table.column("shard"), pa.array(out, pa.binary())], names=["b", "shard", "bits"])
-
-    names = by_block.applyInArrow(symbols, "b int, shard int, names binary")
-    answers = saved(names.groupBy("shard").applyInArrow(shared, "b int, shard int, bits binary"))
-
-    sent = "b int, shard int, owners binary, hashes binary"
+        small, long = ([np.frombuffer(x.as_py(), "<u8") for x in table.column(c)] for c in ("names", "long"))
+        bits = _earlier(long, [_owned(x.as_py()) for x in table.column("owners")])
+        return pa.table([table.column("b"), table.column("shard"), pa.array(_recurs(small), binary), pa.array(bits, binary)], names=["b", "shard", "bits", "long"])
+
+    names = by_block.applyInArrow(symbols, "b int, shard int, names binary, owners binary, long binary")
+    answers = saved(names.groupBy("shard").applyInArrow(shared, "b int, shard int, bits binary, long binary"))
+
+    def opened(table, told):
+        """The block, and its windows by the answers of the first step."""
+        block = _Block(table, shards, width)
+        first = [(s, x, y) for s, x, y, k in zip(*(told.column(c).to_pylist() for c in ("shard", "bits", "long", "step"))) if k == 1]
+        return block, *block.windows([(s, x) for s, x, _ in first if s in block.small], [(s, y) for s, _, y in first if s in block.long.shards])
 
     def windows(key, table, told):
         if not table.num_rows:
-            return empty([("b", pa.int32()), ("shard", pa.int32()), ("owners", pa.binary()), ("hashes", pa.binary())])
-        block = _Block(table, shards, width)
-        block.named()
-        _, ids, _, heads, h = block.windows(zip(told.column("shard").to_pylist(), told.column("bits").to_pylist()))
-        ids = ids[heads]
-        rows = []
-        for s, k in enumerate(_dealt(h, shards)):
-            if len(k):
-                begins = np.flatnonzero(np.concatenate(([True], ids[k[1:]] != ids[k[:-1]])))
-                n = np.diff(np.append(begins, len(k)))
-                rows.append((s, _owners(ids[k[begins]], n), h[k].tobytes()))
-        return pa.table([pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[c] for r in rows], pa.binary()) for c in (1, 2))], names=["b", "shard", "owners", "hashes"])
+            return empty([("b", pa.int32()), ("shard", pa.int32()), ("owners", binary), ("hashes", binary)])
+        rows = [(key[0].as_py(), s, *x) for s, x in opened(table, told)[-1].packets().items()]
+        return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), *(pa.array([r[c] for r in rows], binary) for c in (2, 3))], names=["b", "shard", "owners", "hashes"])
 
     def earlier(key, table):
-        hashes = [np.frombuffer(x.as_py(), "<u8") for x in table.column("hashes")]
-        ids = [_owned(x.as_py()) for x in table.column("owners")]
-        h, d = np.concatenate(hashes), np.concatenate(ids)
-        order = np.argsort(h, kind="stable")
-        hs, ds = h[order], d[order]
-        first = np.flatnonzero(np.concatenate(([True], hs[1:] != hs[:-1])))
-        least = np.repeat(np.minimum.reduceat(ds, first), np.diff(np.append(first, len(hs))))
-        flag = np.empty(len(h), dtype=bool)
-        flag[order] = least < ds
-        out, i = [], 0
-        for p in hashes:
-            out.append(_bits(flag[i : i + len(p)]))
-            i += len(p)
-        return pa.table([table.column("b"), table.column("shard"), pa.array(out, pa.binary())], names=["b", "shard", "bits"])
-
-    found = by_block.cogroup(answers.groupBy("b")).applyInArrow(windows, sent)
+        bits = _earlier([np.frombuffer(x.as_py(), "<u8") for x in table.column("hashes")], [_owned(x.as_py()) for x in table.column("owners")])
+        return pa.table([table.column("b"), table.column("shard"), pa.array(bits, binary)], names=["b", "shard", "bits"])
+
+    told = answers.withColumn("step", F.lit(1))
+    found = by_block.cogroup(told.groupBy("b")).applyInArrow(windows, "b int, shard int, owners binary, hashes binary")
     found = found.groupBy("shard").applyInArrow(earlier, "b int, shard int, bits binary")
-    told = answers.withColumn("step", F.lit(1)).unionByName(found.withColumn("step", F.lit(2)))
+    told = told.unionByName(found.select("b", "shard", "bits", F.lit(None).cast("binary").alias("long"), F.lit(2).alias("step")))
     schema = T.StructType([*base.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
     empty_like = pa.schema([(f.name, f.type) for f in to_arrow_schema(schema)]).empty_table()
@@ -257,17 +302,12 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
     def cut(key, table, told):
         if not table.num_rows:
             return empty_like
-        block = _Block(table, shards, width)
-        block.named()
-        steps = told.column("step").to_pylist()
-        rows = list(zip(told.column("shard").to_pylist(), told.column("bits").to_pylist()))
-        at, ids, stands, heads, h = block.windows([r for r, s in zip(rows, steps) if s == 1])
-        told_of = np.zeros(len(at), dtype=bool)
-        told_of[heads] = _collected([r for r, s in zip(rows, steps) if s == 2], _dealt(h, shards), len(h))
-        repeated = at[told_of[stands] | (ids[stands] < ids)]
+        block, sure, at, asked = opened(table, told)
+        second = [(s, x) for s, x, k in zip(*(told.column(c).to_pylist() for c in ("shard", "bits", "step"))) if k == 2]
+        repeated = np.concatenate((sure, at[asked.earlier(second)]))
         n = len(block.words.hash)
         cover = np.zeros(n + 1, dtype=np.int64)
-        cover[repeated] += 1
+        np.add.at(cover, repeated, 1)
         np.add.at(cover, repeated + width, -1)
         gone = np.cumsum(cover[:n]) > 0
         first = block.words.first
