@@ -13,7 +13,9 @@ without words has the empty set, linked with nothing).  Two texts link when 100
 4. Where they meet, the sets, ordered by how common a shingle is there, stand in a prefix tree.  A set's
    search walks the tree, adding up the overlap of each shared path once, and leaves a subtree when the
    lengths left cannot reach the threshold any more, or when all of it is in the set's component.
-   A leader with over ``GROUP`` sets is dealt over cells, so that any two of its sets meet in one cell.
+   The sets of a leader with over ``GROUP`` of them are compared with the leader first, in cells that each get a copy of it; only
+   those not linked to it (u of m) are then dealt over cells with all of its sets, so that each meets every other in one cell.  A family
+   of near copies of its leader costs one comparison each; the worst case, nothing linked to the leader, stays u * m / GROUP copies.
 5. The links found span the components; labels then spread along them to the smallest id.
 
 Null ids count as smaller than every other; rows that share an id are documents of their own.
@@ -27,9 +29,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.llm.common import U64, Words, block_of, blocked, blocks_for, id_and_text, mix, read_table, saved, slices, unpacked, window_hash
+from wordloom.llm.common import U64, Words, block_of, blocked, blocks_for, dealt, id_and_text, mix, read_table, saved, slices, unpacked, window_hash
 
 N, PERCENT, GROUP = 5, 80, 768
+TO = pa.list_(pa.struct([("leader", pa.int64()), ("i", pa.int32()), ("j", pa.int32())]))
 NO_ID = -(1 << 63)
 
 
@@ -193,6 +196,19 @@ def links_of(table: pa.Table, percent: int = PERCENT) -> pa.Table:
     return pa.table([pa.array([ids[x] for x, _ in links], pa.int64()), pa.array([ids[y] for _, y in links], pa.int64())], names=["a", "b"])
 
 
+def with_leader(table: pa.Table, leader: int, percent: int = PERCENT) -> pa.Table:
+    """(a, b, far): each set of a cell (id, set) beside its leader, which is in the cell too, and whether they are not linked."""
+    ids, sets = table.column("id").to_pylist(), [np.frombuffer(x.as_py(), "<u8") for x in table.column("set")]
+    top, others, far = sets[ids.index(leader)], [], []
+    for i, s in zip(ids, sets):
+        if i != leader:
+            at = np.minimum(np.searchsorted(top, s), len(top) - 1)
+            both = int(np.count_nonzero(top[at] == s))
+            others.append(i)
+            far.append(100 * both < percent * (len(s) + len(top) - both))
+    return pa.table([pa.array(others, pa.int64()), pa.array([leader] * len(others), pa.int64()), pa.array(far, pa.bool_())], names=["a", "b", "far"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each end of the edges (a, b) reaches."""
     edges = saved(edges.select("a", "b"))  # read twice below: computed twice, links of one component may differ
@@ -262,10 +278,7 @@ class _Block:
             ids, sets = ids[pick], [s for s, p in zip(sets, pick) if p]
         self.ids, self.sets = ids, sets
         self.flat = np.concatenate([np.zeros(0, dtype=U64), *self.sets])
-        s = (self.flat >> U64(32)) % U64(shards)
-        order = np.argsort(s, kind="stable")
-        ends = np.cumsum(np.bincount(s.astype(np.int64), minlength=shards))
-        self.shards = [order[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        self.shards = dealt((self.flat >> U64(32)) % U64(shards))
 
     def ordered(self, answers):
         """(id, set with rare shingles first, their steps) of each document."""
@@ -311,7 +324,7 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
         rows = []
         if table.num_rows:
             block = _Block(table, *ids_of(told), n, shards)
-            rows = [(k, block.flat[at].astype("<u4").tobytes()) for k, at in enumerate(block.shards) if len(at)]
+            rows = [(k, block.flat[at].astype("<u4").tobytes()) for k, at in block.shards.items()]
         return pa.table([pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["b", "shard", "rest"])
 
     def counted(key, table):
@@ -350,33 +363,45 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
     meets = saved(firsts.join(lead, "token").select("id", "leader").distinct())
     sizes = meets.groupBy("leader").agg(F.count("*").alias("n")).where("n > 1")
     meets = meets.join(sizes, "leader")
-    cells = F.ceil(F.col("n") / group).cast("int")
-    own_cell = F.pmod(F.xxhash64("id", F.lit(3)), cells).cast("int")
-    # cell (i, j), i <= j, holds the sets dealt i and those dealt j
-    meets = meets.withColumn("cells", cells).withColumn("own", own_cell)
-    other = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("o")
-    meets = meets.select("id", "leader", "own", other)
-    meets = meets.select("id", F.col("leader"), F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"))
-    going = meets.groupBy("id").agg(F.collect_list(F.struct("leader", "i", "j")).alias("to"))
-    going = going.join(chosen, going.id == chosen.rep).select("b", "id", "h1", "to")
+    many = F.col("n") > group
+    dealt_to = lambda seed, n: F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(n / group).cast("int")).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.ceil(n / group).cast("int") - 1)
 
     def sets_of(key, table, told):
-        rows = []
-        if table.num_rows and told.num_rows:
-            to = dict(zip(told.column("id").to_pylist(), told.column("to").to_pylist()))
-            block = _Block(table, *ids_of(told, "id"), n, shards)
-            for i, s in zip(block.ids.tolist(), block.sets):
-                raw = s.tobytes()
-                rows += [(x["leader"], x["i"], x["j"], i, raw) for x in to[i]]
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-        return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["leader", "i", "j", "id", "set"])
-
-    met = by_block.cogroup(going.groupBy("b")).applyInArrow(sets_of, "leader long, i int, j int, id long, set binary")
+        if not (table.num_rows and told.num_rows):
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.binary()), pa.array([], TO)], names=["id", "set", "to"])
+        place = {i: k for k, i in enumerate(told.column("id").to_pylist())}
+        block = _Block(table, *ids_of(told, "id"), n, shards)
+        to = told.column("to").combine_chunks().take(pa.array([place[i] for i in block.ids.tolist()], pa.int64())).cast(TO)
+        return pa.table([pa.array(block.ids), pa.array([s.tobytes() for s in block.sets], pa.binary()), to], names=["id", "set", "to"])
+
+    def met(to: DataFrame):
+        """The sets at the cells (leader, i, j) that to (id, leader, i, j) names; the JVM makes the copies, one by one."""
+        going = to.groupBy("id").agg(F.collect_list(F.struct("leader", "i", "j")).alias("to"))
+        going = going.join(chosen, going.id == chosen.rep).select("b", "id", "h1", "to")
+        sets = by_block.cogroup(going.groupBy("b")).applyInArrow(sets_of, "id long, set binary, to array<struct<leader: bigint, i: int, j: int>>")
+        return sets.select("id", "set", F.explode("to").alias("at")).select("at.leader", "at.i", "at.j", "id", "set").groupBy("leader", "i", "j")
 
     def linked(key, table):
-        return links_of(table, percent)
-
-    found = components(met.groupBy("leader", "i", "j").applyInArrow(linked, "a long, b long"))
+        leader, i = key[0].as_py(), key[1].as_py()
+        out = with_leader(table, leader, percent) if i < 0 else links_of(table, percent)
+        return out if i < 0 else out.append_column("far", pa.array([False] * out.num_rows, pa.bool_()))
+
+    few = meets.where(~many).select("id", "leader", F.lit(0).alias("i"), F.lit(0).alias("j"))
+    star = F.when(F.col("id") == F.col("leader"), every(F.col("n"))).otherwise(F.array(dealt_to(3, F.col("n"))))
+    first_cells = few.unionByName(meets.where(many).select("id", "leader", F.lit(-1).alias("i"), F.explode(star).alias("j")))
+    links = saved(met(first_cells).applyInArrow(linked, "a long, b long, far boolean"))
+    edges, far = links.where("not far").select("a", "b"), links.where("far").select(F.col("a").alias("id"), F.col("b").alias("leader"))
+    if not far.isEmpty():
+        outer = far.groupBy("leader").agg(F.count("*").alias("u"))
+        rest = meets.where(many).join(outer, "leader").join(far.withColumn("out", F.lit(True)), ["leader", "id"], "left")
+        cell = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+        i, j = dealt_to(5, F.col("u")), dealt_to(3, F.col("n"))
+        as_any, as_outer = F.transform(every(F.col("u")), lambda x: cell(x, j)), F.transform(every(F.col("n")), lambda x: cell(i, x))
+        rest = rest.select("id", "leader", F.explode(F.when(F.col("out"), F.array_union(as_any, as_outer)).otherwise(as_any)).alias("cell"))
+        edges = edges.unionByName(met(rest.select("id", "leader", "cell.i", "cell.j")).applyInArrow(linked, "a long, b long, far boolean").select("a", "b"))
+
+    found = components(edges)
     named = reps.join(found, reps.rep == found.id, "left").select("size", "h1", "h2", "least", F.coalesce("component", "rep").alias("c"))
     least = named.groupBy("c").agg(F.min("least").alias("component_id"))
     return own, named.join(least, "c").select("size", "h1", "h2", "component_id", "c")
