@@ -28,7 +28,7 @@ def _unbundled(df: DataFrame, like: DataFrame, text) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score reaches the threshold stay."""
+    """Documents whose score reaches the threshold stay; null and empty texts have the prior as their score."""
     model = quality.fit(id_and_text(docs), quality.labelled(spark, sf_dir))
     whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # nothing is shuffled here
     scored = quality.quality_scores(whole, model, carry=["row"])
@@ -46,12 +46,13 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = own.join(named, ["size", "h1", "h2"], "left").where(F.col("doc_id") != jaccard.NO_ID)
     least = F.col("doc_id") == F.coalesce("component_id", "doc_id")
     stays = saved(found.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n"), F.max(least).alias("least")).where("least").drop("least"))
-    is_kept, no_id = F.col("doc_id") == F.col("kept_id"), F.col("doc_id").isNull() | (F.col("doc_id") == jaccard.NO_ID)
-    out = docs.where(no_id).unionByName(docs.join(stays.where("n = 1"), is_kept, "left_semi"))
-    shared = stays.where("n > 1")
+    alone, shared = stays.where("n = 1"), stays.where("n > 1")
+    no_id = docs["doc_id"].isNull() | (docs["doc_id"] == jaccard.NO_ID)
+    # bound to their frames: docs may have a column kept_id too
+    out = docs.where(no_id).unionByName(docs.join(alone, docs["doc_id"] == alone["kept_id"], "left_semi"))
     if shared.isEmpty():
         return out
-    whole = docs.join(shared, is_kept, "left_semi").select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    whole = docs.join(shared, docs["doc_id"] == shared["kept_id"], "left_semi").select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = jaccard.with_class(whole).join(named, ["size", "h1", "h2"], "left")
     first = rows.where(F.col("row.doc_id") == F.col("component_id")).groupBy("c").agg(F.min_by("row", "text").alias("row"))
     return out.unionByName(first.select("row.*")).unionByName(rows.where("size = 0").select("row.*"))
@@ -70,11 +71,16 @@ STAGES = [("quality", quality_stage), ("lines", line_stage), ("near_copies", nea
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each but the last is written to the shared folder and read again."""
+    """Apply the stages to documents; each but the last is written to the shared folder and read again, and goes once the next one is written."""
     import uuid
 
     docs, where = read_table(spark, sf_dir, "documents"), f"{scratch(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{where}/{name}")
         docs = spark.read.parquet(f"{where}/{name}")
+        if before:
+            old = spark._jvm.org.apache.hadoop.fs.Path(before)
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+        before = f"{where}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
