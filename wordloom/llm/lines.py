@@ -3,13 +3,13 @@
 1. Each block of documents counts its distinct line keys (128-bit hashes) and finds the largest id that
    holds each; blocks send packed arrays, one for each shard of the hash space, so a line that
    every document holds is a few entries a block and not one for each document.
-2. Each shard adds the counts up, keeps the keys found in ``min_docs`` documents or more and builds a
-   minimal perfect hash over them: levels of bit arrays, where a key sits at the first level at
+2. Each shard adds the counts up, keeps the keys found in ``min_docs`` documents or more (no document loses any
+   other) and builds a minimal perfect hash over them: levels of bit arrays, where a key sits at the first level at
    which no other key shares its bit, and its index is the number of bits before it.  Compact arrays
    beside it hold fingerprint, count and largest id.
-3. Documents probe the arrays; lines are never joined.  While all shards together stay under
-   ``broadcast_bytes`` every task holds them; beyond, probes (hashes only) go to the shards and
-   the answers come back by document.
+3. Documents probe the arrays; lines are never joined.  Every task holds one such index of the most frequent keys, as many as fit in
+   ``broadcast_bytes``.  Probes of the others (hashes only) go to their shards and the answers come back by document; no such
+   key is frequent, so no shard gets many probes of one.
 
 A key is the line without ``[\\x20\\x09-\\x0D]`` at both ends, with A-Z lower-cased; keys under ``min_chars``
 code points are left alone.  A null or empty text is one empty line.  Rows that share an id
@@ -22,16 +22,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.llm.common import U64, blocks_for, id_and_text, mix, read_table, saved, slices
+from wordloom.llm.common import U64, blocks_for, dealt, id_and_text, mix, read_table, saved, slices
 
 WHITE = " \t\n\v\f\r"
 MIN_CHARS, MIN_DOCS = 40, 5
 BROADCAST_BYTES = 64 << 20
 NO_ID = -(1 << 63)
+TIERS = 4 * 32 + 1
 RECORD = np.dtype([("a", "<u8"), ("b", "<u8"), ("id", "<i8"), ("n", "<u4")])
 
 
@@ -43,12 +45,13 @@ def key_hash(line: str, min_chars: int) -> bytes | None:
 # --- minimal perfect hash ------------------------------------------------------------------------
 
 
-def _place(keys: np.ndarray, level: int, size: int) -> np.ndarray:
-    return (mix(keys ^ U64((level + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) % U64(size)).astype(np.int64)
+def _place(a: np.ndarray, b: np.ndarray, level: int, size: int) -> np.ndarray:
+    turn = U64((level + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    return ((mix(a ^ turn) + mix(b + turn)) % U64(size)).astype(np.int64)
 
 
 class PerfectHash:
-    """Maps each of a set of distinct 64-bit keys to an index of its own below their number."""
+    """Maps each of a set of distinct 128-bit keys (a, b) to an index of its own below their number."""
 
     def __init__(self, levels: list[np.ndarray]):
         self.levels = levels
@@ -60,23 +63,28 @@ class PerfectHash:
             before += int(bits.sum())
 
     @classmethod
-    def of(cls, keys: np.ndarray) -> PerfectHash:
-        levels, left = [], keys
-        while len(left):
-            size = 2 * len(left) + 1
-            place = _place(left, len(levels), size)
+    def of(cls, a: np.ndarray, b: np.ndarray) -> PerfectHash:
+        """Repeated keys would never part: they are an error."""
+        order = np.lexsort((b, a))
+        if ((a[order[1:]] == a[order[:-1]]) & (b[order[1:]] == b[order[:-1]])).any():
+            raise ValueError("repeated keys")
+        levels = []
+        while len(a):
+            size = 2 * len(a) + 1
+            place = _place(a, b, len(levels), size)
             alone = np.bincount(place, minlength=size) == 1
             levels.append(alone)
-            left = left[~alone[place]]
+            left = ~alone[place]
+            a, b = a[left], b[left]
         return cls(levels)
 
-    def index(self, keys: np.ndarray) -> np.ndarray:
+    def index(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The index of each key; -1, or that of some other key, for one that is not of the set."""
-        out, left = np.full(len(keys), -1, dtype=np.int64), np.arange(len(keys))
+        out, left = np.full(len(a), -1, dtype=np.int64), np.arange(len(a))
         for k, bits in enumerate(self.levels):
             if not len(left):
                 break
-            place = _place(keys[left], k, len(bits))
+            place = _place(a[left], b[left], k, len(bits))
             hit = bits[place]
             out[left[hit]] = self.ranks[k][place[hit]]
             left = left[~hit]
@@ -85,9 +93,9 @@ class PerfectHash:
 
 def shard_bytes(records: np.ndarray) -> bytes:
     """A shard as bytes: level sizes, level bits, then fingerprints, counts and largest ids by index."""
-    h = PerfectHash.of(records["a"])
+    h = PerfectHash.of(records["a"], records["b"])
     order = np.empty(len(records), dtype=np.int64)
-    order[h.index(records["a"])] = np.arange(len(records))
+    order[h.index(records["a"], records["b"])] = np.arange(len(records))
     r = records[order]
     sizes = np.array([len(r), len(h.levels), *map(len, h.levels)], dtype="<i8")
     return b"".join([sizes.tobytes(), *(np.packbits(x).tobytes() for x in h.levels), r["b"].tobytes(), r["id"].tobytes(), r["n"].tobytes()])
@@ -107,17 +115,24 @@ class Shard:
         self.largest = np.frombuffer(raw, "<i8", n, at + 8 * n)
         self.count = np.frombuffer(raw, "<u4", n, at + 16 * n)
 
-    def largest_id(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which keys are of the set, and the largest id that holds each of those."""
-        k = self.hash.index(a)
-        known = (k >= 0) & (self.mark[k] == b if len(self.mark) else False)
-        return known, self.largest[k[known]]
+    def lost(self, a: np.ndarray, b: np.ndarray, mine: np.ndarray, min_docs: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are of the set, and which of all a document of id ``mine`` loses."""
+        if not len(self.mark):
+            return np.zeros(len(a), dtype=bool), np.zeros(len(a), dtype=bool)
+        k = self.hash.index(a, b)
+        known = (k >= 0) & (self.mark[k] == b)
+        return known, known & (self.count[k] >= min_docs) & (self.largest[k] != mine)
 
 
 def _shard_of(a: np.ndarray, shards: int) -> np.ndarray:
     return ((a >> U64(20)) % U64(shards)).astype(np.int64)
 
 
+def _tier(n: np.ndarray) -> np.ndarray:
+    """Quarter powers of two of the counts."""
+    return np.floor(4 * np.log2(np.maximum(n, 1))).astype(np.int64)
+
+
 # --- steps ---------------------------------------------------------------------------------------
 
 
@@ -128,7 +143,7 @@ def _summed(records: np.ndarray) -> np.ndarray:
         return r
     first = np.flatnonzero(np.concatenate(([True], (r["a"][1:] != r["a"][:-1]) | (r["b"][1:] != r["b"][:-1]))))
     out = r[first].copy()
-    out["n"] = np.add.reduceat(r["n"], first)
+    out["n"] = np.minimum(np.add.reduceat(r["n"].astype(np.int64), first), (1 << 32) - 1)
     out["id"] = np.maximum.reduceat(r["id"], first)
     return out
 
@@ -154,19 +169,36 @@ def line_index(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
                 ab = np.frombuffer(b"".join(seen), "<u8").reshape(-1, 2)
                 r["a"], r["b"] = ab[:, 0], ab[:, 1]
                 r["n"], r["id"] = [x[0] for x in seen.values()], [x[1] for x in seen.values()]
-                s = _shard_of(r["a"], shards)
-                r = r[np.argsort(s, kind="stable")]
-                ends = np.cumsum(np.bincount(s, minlength=shards))
-                parts = [(k, r[a:b].tobytes()) for k, (a, b) in enumerate(zip([0, *ends[:-1]], ends)) if b > a]
+                parts = [(k, r[at].tobytes()) for k, at in dealt(_shard_of(r["a"], shards)).items()]
                 yield pa.record_batch([pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], names=["shard", "packed"])
 
     def build(key, table):
         records = np.concatenate([np.frombuffer(x.as_py(), dtype=RECORD) for x in table.column("packed")])
         records = _summed(records)
-        raw = shard_bytes(records[records["n"] >= min_docs])
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([raw], pa.binary())], names=["shard", "raw"])
+        records = records[records["n"] >= min_docs]
+        sizes = np.bincount(_tier(records["n"]), minlength=TIERS).tolist()
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([shard_bytes(records)], pa.binary()), pa.array([records.tobytes()], pa.binary()), pa.array([sizes], pa.list_(pa.int64()))], names=["shard", "raw", "records", "sizes"])
+
+    return saved(docs.mapInArrow(count, "shard int, packed binary").groupBy("shard").applyInArrow(build, "shard int, raw binary, records binary, sizes array<long>")), shards
 
-    return saved(docs.mapInArrow(count, "shard int, packed binary").groupBy("shard").applyInArrow(build, "shard int, raw binary")), shards
+
+def frequent(index: DataFrame, most_bytes: int) -> tuple[np.ndarray, bool]:
+    """The records of the most frequent keys, as many tiers of them as stay under ``most_bytes``; and whether those are all."""
+    tiers = index.select(F.posexplode("sizes").alias("tier", "k")).groupBy("tier").agg(F.sum("k").alias("k")).collect()
+    sizes = np.zeros(TIERS, dtype=np.int64)
+    for r in tiers:
+        sizes[r.tier] = r.k
+    over = np.cumsum(sizes[::-1])[::-1] * RECORD.itemsize
+    least = next((k for k in range(TIERS) if over[k] <= most_bytes), TIERS)
+
+    def chosen(batches):
+        for batch in batches:
+            for raw in batch.column(0):
+                r = np.frombuffer(raw.as_py(), dtype=RECORD)
+                yield pa.record_batch([pa.array([r[_tier(r["n"]) >= least].tobytes()], pa.binary())], names=["records"])
+
+    parts = [bytes(r.records) for r in index.select("records").mapInArrow(chosen, "records binary").collect()]
+    return np.frombuffer(b"".join(parts), dtype=RECORD), not sizes[:least].any()
 
 
 class _Cut:
@@ -193,72 +225,61 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(carry or []))
     schema = T.StructType([*base.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     index, shards = line_index(id_and_text(docs), min_docs, min_chars, shards)
-    size = index.agg(F.sum(F.length("raw"))).first()[0] or 0
+    records, whole = frequent(index, broadcast_bytes)
+    shared = spark.sparkContext.broadcast(shard_bytes(records))  # at most broadcast_bytes and the level bits
     cut = _Cut(min_chars)
 
-    if size <= broadcast_bytes:
-        shared = spark.sparkContext.broadcast({r.shard: bytes(r.raw) for r in index.collect()})
-
-        def probe(batches):
-            opened = {k: Shard(raw) for k, raw in shared.value.items()}
-            for batch in batches:
-                for part in slices(batch):
-                    ids = part.column(0).to_pylist()
-                    both = [cut.lines(t) for t in part.column(1).to_pylist()]
-                    keys = [(d, j, k) for d, (_, ks) in enumerate(both) for j, k in enumerate(ks) if k]
-                    ab = np.frombuffer(b"".join([k for _, _, k in keys]), "<u8").reshape(-1, 2)
-                    lost = np.zeros(len(keys), dtype=bool)
-                    mine = np.array([NO_ID if ids[d] is None else ids[d] for d, _, _ in keys], dtype=np.int64)
-                    shard = _shard_of(ab[:, 0], shards)
-                    for s in np.unique(shard).tolist():
-                        if s in opened:
-                            at = np.flatnonzero(shard == s)
-                            known, largest = opened[s].largest_id(ab[at, 0], ab[at, 1])
-                            lost[at[known]] = largest != mine[at[known]]
-                    drop: dict[int, set[int]] = {}
-                    for i in np.flatnonzero(lost).tolist():
-                        drop.setdefault(keys[i][0], set()).add(keys[i][1])
-                    texts = ["\n".join([x for j, x in enumerate(ls) if j not in drop[d]]) if d in drop else "\n".join(ls) for d, (ls, _) in enumerate(both)]
-                    yield cut.batch(part, texts, [len(ls) for ls, _ in both], [len(drop.get(d, ())) for d in range(len(both))])
-
-        return base.mapInArrow(probe, schema)
+    def probed(part, hot):
+        """The lines and keys of each text, the distinct (text, key) pairs as arrays, and what the index of frequent keys says of them."""
+        both = [cut.lines(t) for t in part.column(1).to_pylist()]
+        pairs = [(d, k) for d, (_, ks) in enumerate(both) for k in {*ks} - {None}]
+        ab = np.frombuffer(b"".join([k for _, k in pairs]), "<u8").reshape(-1, 2)
+        ids = np.asarray(pc.fill_null(part.column(0), NO_ID), dtype="<i8")
+        mine = ids[np.array([d for d, _ in pairs], dtype=np.int64)]
+        return both, pairs, ab, mine, *hot.lost(ab[:, 0], ab[:, 1], mine, min_docs)
+
+    def drop(batches):
+        """Cuts texts; where not all keys are frequent, the last column has the other keys that a text loses."""
+        hot = Shard(shared.value)
+        for batch in batches:
+            for part in slices(batch):
+                gone: dict[int, set[bytes]] = {}
+                if not whole:
+                    gone = {d: set(x) for d, x in enumerate(part.column(part.num_columns - 1).to_pylist()) if x}
+                    part = part.select(part.schema.names[:-1])
+                both, pairs, _, _, _, lost = probed(part, hot)
+                for i in np.flatnonzero(lost).tolist():
+                    gone.setdefault(pairs[i][0], set()).add(pairs[i][1])
+                kept = [[x for x, k in zip(ls, ks) if k not in gone[d]] if d in gone else ls for d, (ls, ks) in enumerate(both)]
+                yield cut.batch(part, ["\n".join(x) for x in kept], [len(ls) for ls, _ in both], [len(ls) - len(x) for (ls, _), x in zip(both, kept)])
+
+    if whole:
+        return base.mapInArrow(drop, schema)
 
     def ask(batches):
+        hot = Shard(shared.value)
         for batch in batches:
             for part in slices(batch):
-                ids = part.column(0).to_pylist()
-                pairs = [(NO_ID if i is None else i, k) for i, t in zip(ids, part.column(1).to_pylist()) for k in set(cut.lines(t)[1]) - {None}]
-                ab = np.frombuffer(b"".join([k for _, k in pairs]), "<u8").reshape(-1, 2)
-                mine, shard = np.array([i for i, _ in pairs], dtype="<i8"), _shard_of(ab[:, 0], shards)
-                at = [np.flatnonzero(shard == s) for s in range(shards)]
-                at = {s: x for s, x in enumerate(at) if len(x)}
+                _, _, ab, mine, known, _ = probed(part, hot)
+                ab, mine = ab[~known], mine[~known]
+                at = dealt(_shard_of(ab[:, 0], shards))
                 yield pa.record_batch([pa.array(list(at), pa.int32()), pa.array([mine[x].tobytes() for x in at.values()], pa.binary()), pa.array([ab[x].tobytes() for x in at.values()], pa.binary())], names=["shard", "ids", "hashes"])
 
-    def answer(batches):
-        for batch in batches:
-            rows = []
-            for raw, ids, hashes in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                ids, ab = np.frombuffer(ids, "<i8"), np.frombuffer(hashes, "<u8").reshape(-1, 2)
-                known, largest = Shard(raw).largest_id(ab[:, 0], ab[:, 1])
-                lost = np.flatnonzero(known)[largest != ids[known]]
-                rows += [(int(ids[i]), ab[i].tobytes()) for i in lost]
-            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["k", "hash"])
+    def answer(key, asked, index):
+        ids, hashes = [np.zeros(0, "<i8")], []
+        if asked.num_rows and index.num_rows:
+            shard = Shard(index.column("raw")[0].as_py())
+            for i, h in zip(asked.column("ids"), asked.column("hashes")):
+                mine, ab = np.frombuffer(i.as_py(), "<i8"), np.frombuffer(h.as_py(), "<u8").reshape(-1, 2)
+                _, lost = shard.lost(ab[:, 0], ab[:, 1], mine, min_docs)
+                ids.append(mine[lost])
+                hashes += [x.tobytes() for x in ab[lost]]
+        return pa.table([pa.array(np.concatenate(ids)), pa.array(hashes, pa.binary())], names=["k", "hash"])
 
     asked = base.select("doc_id", "text").mapInArrow(ask, "shard int, ids binary, hashes binary")
-    lost = asked.join(index, "shard").select("raw", "ids", "hashes").mapInArrow(answer, "k long, hash binary")
+    lost = asked.groupBy("shard").cogroup(index.select("shard", "raw").groupBy("shard")).applyInArrow(answer, "k long, hash binary")
     lost = lost.groupBy("k").agg(F.collect_set("hash").alias("lost_keys"))
-    joined = base.join(lost, F.coalesce(F.col("doc_id"), F.lit(NO_ID)) == F.col("k"), "left").drop("k")
-
-    def drop_lines(batches):
-        for batch in batches:
-            for part in slices(batch):
-                keys = [set(x or ()) for x in part.column(part.num_columns - 1).to_pylist()]
-                both = [cut.lines(t) for t in part.column(1).to_pylist()]
-                kept = [[x for x, k in zip(ls, ks) if k not in lost] for (ls, ks), lost in zip(both, keys)]
-                part = part.select(part.schema.names[:-1])
-                yield cut.batch(part, ["\n".join(x) for x in kept], [len(ls) for ls, _ in both], [len(ls) - len(x) for (ls, _), x in zip(both, kept)])
-
-    return joined.mapInArrow(drop_lines, schema)
+    return base.join(lost, F.coalesce(base["doc_id"], F.lit(NO_ID)) == lost["k"], "left").drop(lost["k"]).mapInArrow(drop, schema)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
