@@ -8,12 +8,13 @@ end of a sentence or line (``SENTENCE``), or, in stretches without those, every
     cost(k) = penalty(k) + window + min(cost(j) for j < k if position(k) - position(j) <= window)
 
 where a window counts in full, since its tokens are the same for every choice of cuts.  The minimum over
-the sliding range is kept by a queue of rising costs, so the transitions take constant time each.
-The last tokens of a partition go to sequences whose lengths are powers of two, which need no padding.
+the sliding range is kept by a queue of rising costs, so the transitions take constant time each.  The end of a partition's stream may
+be one padded window or sequences whose lengths are powers of two, which need no padding; the program chooses the
+last window's start together with the cheaper of the two.
 
-A stream is cut piecewise: after each block of texts the windows up to the best cut among its last
-``window`` tokens are final, and the rest leads the next block.  Sequence ids are unique over partitions.
-Null and empty texts are one end id.
+A stream is cut as it grows, and yet as a whole: a cut is final once all cuts that a later window could start from descend from it,
+so the cuts don't depend on how the texts come in batches.  What isn't final stays in memory, as a rule a few windows.
+Sequence ids are unique over partitions.  Null and empty texts are one end id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -84,21 +85,78 @@ def tokenizer(path: str) -> ByteTokenizer:
     return ByteTokenizer(path)
 
 
-def cuts(position: np.ndarray, penalty: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """(cost, index of the cut before) for each allowed cut; position[0] is 0 and no two are over ``window`` apart."""
-    cost, back = [0], [0]
-    queue: deque = deque([(0, 0, 0)])  # cost, position, index, by rising cost
-    for k, (p, e) in enumerate(zip(position[1:].tolist(), penalty[1:].tolist()), 1):
-        low = p - window
-        while queue[0][1] < low:
-            queue.popleft()
-        c = queue[0][0] + window + e
-        cost.append(c)
-        back.append(queue[0][2])
-        while queue and queue[-1][0] >= c:
-            queue.pop()
-        queue.append((c, p, k))
-    return list(zip(cost, back))
+class Cutter:
+    """The cheapest cuts of a stream that grows at its end; positions count from the stream's start."""
+
+    def __init__(self, window: int):
+        self.window, self.base = window, 0  # base: the index of the first cut that is kept
+        self.position, self.cost, self.back, self.penalty = [0], [0], [0], [0]
+        self.queue: deque = deque([(0, 0, 0)])  # cost, position, index, by rising cost
+
+    def extend(self, position: list[int], penalty: list[int]) -> None:
+        """More allowed cuts, in order; no two neighbours are over ``window`` apart."""
+        queue, window, k = self.queue, self.window, self.base + len(self.position)
+        for p, e in zip(position, penalty):
+            while queue[0][1] < p - window:
+                queue.popleft()
+            c = queue[0][0] + window + e
+            self.cost.append(c)
+            self.back.append(queue[0][2])
+            while queue and queue[-1][0] >= c:
+                queue.pop()
+            queue.append((c, p, k))
+            k += 1
+        self.position += position
+        self.penalty += penalty
+
+    def _path(self, k: int) -> list[int]:
+        """The positions of the cuts that lead to cut k, after the first one kept, its own included."""
+        out = []
+        while k > self.base:
+            out.append(self.position[k - self.base])
+            k = self.back[k - self.base]
+        return out[::-1]
+
+    def final(self) -> list[int]:
+        """The cuts that no later one can change any more; they are forgotten but for the last."""
+        least = int(np.searchsorted(self.position, self.position[-1] - self.window))  # windows to come start here or later
+        k = self.base + len(self.position) - 1
+        live = set(range(self.base + least, k + 1))
+        while len(live) > 1:
+            if k in live:
+                live.remove(k)
+                live.add(max(self.base, self.back[k - self.base]))
+            k -= 1
+        k = live.pop()
+        out = self._path(k)
+        drop = k - self.base
+        for x in (self.position, self.cost, self.back, self.penalty):
+            del x[:drop]
+        self.base = k
+        return out
+
+    def _tail(self, t: int, end: int, penalty: dict[int, int]) -> tuple[int, list[int]]:
+        """What the last t tokens cost, and their cuts: one sequence, or powers of two."""
+        one = (t if t & (t - 1) == 0 else self.window, [end])
+        p, cost, ends = end - t, t, []
+        while p < end:
+            p += 1 << ((end - p).bit_length() - 1)
+            ends.append(p)
+            cost += penalty.get(p, BROKEN)
+        return min(one, (cost, ends))
+
+    def finish(self) -> list[int]:
+        """The rest of the cuts; the stream ends at the last allowed one."""
+        end = self.position[-1]
+        known = dict(zip(self.position, self.penalty)) | {end: 0}
+        best = (self.cost[-1], -len(self.position) + 1, [])
+        for i in range(len(self.position) - 2, -1, -1):
+            t = end - self.position[i]
+            if t > self.window:
+                break
+            cost, ends = self._tail(t, end, known)
+            best = min(best, (self.cost[i] + cost, -i, ends))
+        return self._path(self.base - best[1]) + best[2]
 
 
 class Packer:
@@ -107,51 +165,41 @@ class Packer:
     def __init__(self, ends: np.ndarray, window: int, first_sequence: int):
         self.ends, self.window, self.sequence = ends, window, first_sequence
         self.docs: list[tuple[int | None, int, int]] = []  # id, its tokens, how many of them are out
-        self.ids = np.zeros(0, dtype="<u4")
+        self.ids, self.out, self.cutter = np.zeros(0, dtype="<u4"), 0, Cutter(window)
 
     def add(self, docs: list[tuple[int | None, bytes]]) -> list[tuple]:
         end = END_ID.to_bytes(4, "little")
         raw = [ids + end for _, ids in docs]
         self.docs += [(i, len(r) // 4, 0) for (i, _), r in zip(docs, raw)]
-        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(raw), dtype="<u4")))
-        return self._emit(self._best(len(self.ids))) if len(self.ids) > 4 * self.window else []
-
-    def _best(self, n: int) -> list[int]:
-        """The ends of the windows that are final."""
-        pen = np.full(n + 1, -1, dtype=np.int64)
-        pen[1:][self.ends[self.ids]] = SENTENCE
-        left = np.array([t - out for _, t, out in self.docs])
-        pen[np.cumsum(left)] = 0
+        new = np.frombuffer(b"".join(raw), dtype="<u4")
+        if len(new):
+            at, penalty = self._allowed(new, np.cumsum([len(r) // 4 for r in raw]))
+            self.cutter.extend((at + self.out + len(self.ids)).tolist(), penalty.tolist())
+            self.ids = np.concatenate((self.ids, new))
+        return self._emit(self.cutter.final())
+
+    def _allowed(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The allowed cuts of whole documents, which end at ``ends``, and their penalties."""
+        pen = np.full(len(ids) + 1, -1, dtype=np.int64)
+        pen[1:][self.ends[ids]] = SENTENCE
+        pen[ends] = 0
         pen[0] = 0
         at = np.flatnonzero(pen >= 0)
-        gap = np.diff(at, append=n)
-        wide = at[gap > STRIDE]
-        for a, g in zip(wide.tolist(), gap[gap > STRIDE].tolist()):
-            more = np.arange(a + STRIDE, a + g, STRIDE)
-            pen[more] = np.where(pen[more] < 0, BROKEN, pen[more])
-        at = np.flatnonzero(pen >= 0)
-        found = cuts(at, pen[at], self.window)
-        last = range(int(np.searchsorted(at, n - self.window, side="right")), len(at))
-        k = min(last, key=lambda i: (found[i][0], -i))
-        out = []
-        while k:
-            out.append(int(at[k]))
-            k = found[k][1]
-        return out[::-1]
+        gap = np.diff(at)
+        wide = gap > STRIDE
+        for a, g in zip(at[:-1][wide].tolist(), gap[wide].tolist()):
+            pen[a + STRIDE : a + g : STRIDE] = BROKEN
+        at = np.flatnonzero(pen[1:] >= 0) + 1
+        return at, pen[at]
 
     def finish(self) -> list[tuple]:
-        rows = self._emit(self._best(len(self.ids))) if len(self.ids) > self.window else []
-        n, ends, p = len(self.ids), [], 0
-        while p < n:
-            p += min(self.window, 1 << ((n - p).bit_length() - 1))
-            ends.append(p)
-        return rows + self._emit(ends)
+        return self._emit(self.cutter.finish())
 
     def _emit(self, ends: list[int]) -> list[tuple]:
         rows, d, p = [], 0, 0
         docs, ids = self.docs, self.ids
         for e in ends:
-            offset = 0
+            e, offset = e - self.out, 0
             while p < e:
                 i, total, out = docs[d]
                 k = min(e - p, total - out)
@@ -160,7 +208,7 @@ class Packer:
                 docs[d] = (i, total, out + k)
                 d += out + k == total
             self.sequence += 1
-        self.docs, self.ids = docs[d:], ids[p:]
+        self.docs, self.ids, self.out = docs[d:], ids[p:], self.out + p
         return rows
 
 
