@@ -5,19 +5,21 @@ against an automaton from left to right into the longest phrases that occur in t
 character that doesn't occur is a phrase of its own).  The number of phrases, times the logarithm of
 the language's text length, is the cross-parsing entropy; the language that needs least wins.
 
-Phrases don't cross the edges of words, whose marks belong to them: a word's numbers of phrases are
-then a property of the word, which workers memoise.  Digits and signs tell nothing and are left out.
+A text is read as its words (runs of letters and marks, lower-cased) with one space before, between and after them; digits and
+signs tell nothing and are left out.  Phrases cross the edges of words.  What a word adds depends only on
+the automaton's state before it, so workers memoise (state, word).
 
 The automata are fitted on a bounded sample: at most ``chars`` characters of whole documents for each
 language, drawn by a hash of the id until the characters are full or the documents end.  Every value of
-lang is learned; over 1,000 of them is an error.  Null texts and texts without a letter are ``und`` with score 0;
+lang with a letter in its sample is learned; over 1,000 of them is an error.  Null texts and texts without a letter are ``und`` with score 0;
 so is every text when there is nothing to learn from.  Equal costs go to the first language by name.
 """
 
 from __future__ import annotations
 
 import math
-import re
+import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,15 +27,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.bounded import read_bounded
-from wordloom.llm.common import Memo, id_and_text, read_table, remainder, slices
+from wordloom.llm.common import id_and_text, read_table, remainder, slices
 
-#: Of a field of phrase counts: a text is under 2**31 bytes, with at most two phrases a character.
-BITS = 40
-_WORDS = re.compile(r"[^\W\d_]+")
+#: Of the memo of a language's (state, word) pairs: entries over all languages, and words that have a number there.
+MEMO, NUMBERED = 1 << 20, 1 << 18
+
+
+@lru_cache(maxsize=1)
+def _word_pattern():
+    """Runs of letters and marks that begin with a letter, by Unicode category: not ``½``, ``²``, ``①`` or Roman numerals."""
+    import regex
+
+    return regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORDS.findall(text.lower()) if text else []
+    if not text:
+        return []
+    if text.isascii():
+        return text.lower().translate(_PLAIN).split()
+    return _word_pattern().findall(text.lower())
+
+
+#: ASCII characters that are no letters, as spaces.
+_PLAIN = {c: " " for c in range(128) if unicodedata.category(chr(c))[0] != "L"}
 
 
 class SuffixAutomaton:
@@ -72,56 +89,78 @@ class SuffixAutomaton:
         return np.fromiter(self.arcs, np.int64, len(self.arcs)), np.fromiter(self.arcs.values(), np.int32, len(self.arcs)), self.size
 
 
-def phrases(arcs: dict[int, int], codes: list[int]) -> int:
-    """The number of longest-match phrases of a sequence."""
-    state, n, get = 0, 1, arcs.get
+def parse(arcs: dict[int, int], state: int, codes: list[int]) -> tuple[int, int]:
+    """How many longest-match phrases begin in a sequence, and the state after it; state 0: no phrase is open."""
+    n, get = 0, arcs.get
     for c in codes:
-        to = get((state << 21) + c)
+        to = get((state << 21) + c) if state else None
         if to is None:
-            n += state != 0
-            to = get(c)
-            if to is None:  # a phrase of its own
-                n, to = n + 1, 0
+            n, to = n + 1, get(c, 0)  # a character that doesn't occur is a phrase of its own
         state = to
-    return n - (state == 0)
-
-
-def _drawn(docs: DataFrame, chars: int, batch: int) -> list[str]:
-    """The words of whole documents by the hash of the id, each that still fits in ``chars``, until they are full."""
-    order = [F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("i"), F.xxhash64("text").alias("t")]
-    rows = docs.where("text <> ''").select(F.struct(*order).alias("at"), "text")
-    parts, n, after = [], 0, None
-    while n <= 0.95 * chars:
-        rest = rows if after is None else rows.where(F.col("at") > F.struct(F.lit(after.h), F.lit(after.i).cast("long"), F.lit(after.t)))
-        if parts:
-            rest = rest.where(F.length("text") <= chars - n)
-        got = rest.orderBy("at").limit(batch).collect()
-        had = n
-        for r in got:
-            if parts and n + len(r.text) > chars:
-                continue
-            parts += words_of(r.text)
-            n += len(r.text)
-            if n > 0.95 * chars:
-                break
-        if len(got) < batch:
-            break
-        after = got[-1].at
-        batch *= 2 if n - had < chars // 8 else 1  # short texts
-    return parts
-
-
-def fit(docs: DataFrame, chars: int = 60_000, sample: int = 400, most: int = 1000) -> dict[str, tuple[np.ndarray, np.ndarray, int]]:
-    """An automaton for each value of lang in docs (doc_id, text, lang), at most ``most`` values; documents come ``sample`` or more at a time."""
-    use = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    return n, state
+
+
+class Parser:
+    """The numbers of phrases of texts for one automaton; (state, word) pairs are memoised up to ``size``."""
+
+    def __init__(self, arcs: dict[int, int], size: int):
+        self.arcs, self.size, self.memo = arcs, size, {}
+        self.begin = parse(arcs, 0, [32])
+
+    def count(self, words: list[str], numbers: list[int]) -> int:
+        """numbers: of the words, below NUMBERED, or -1."""
+        total, state = self.begin
+        memo, get = self.memo, self.memo.get
+        for i, k in enumerate(numbers):
+            key = state * NUMBERED + k
+            found = get(key) if k >= 0 else None
+            if found is None:
+                found = parse(self.arcs, state, [*map(ord, words[i]), 32])
+                if k >= 0 and len(memo) < self.size:
+                    memo[key] = found
+            total, state = total + found[0], found[1]
+        return total
+
+
+def _drawn(docs: DataFrame, chars: int, most: int) -> dict[str, list[str]]:
+    """For each lang the texts of whole documents by the hash of the id, each that still fits in ``chars``, until 95 % are full; a language whose
+    documents are all longer gives the shortest.  All languages are drawn in the same passes, and about four times ``chars`` of each reach the driver."""
+    top = (1 << 63) - 1
+    rows = docs.where("text <> ''").select("lang", F.xxhash64("doc_id").bitwiseAND(F.lit(top)).alias("h"), F.col("doc_id").alias("i"), F.length("text").alias("n"), "text")
+    fits = F.col("n") <= chars
+    size = {r.lang: r.n for r in read_bounded(rows.groupBy("lang").agg(F.sum(F.when(fits, F.col("n"))).alias("n")), most)}
+    share = {k: min(1.0, 4 * chars / n) for k, n in size.items() if n}
     out = {}
-    for name in sorted(r.lang for r in read_bounded(use.select("lang").distinct(), most)):
-        parts = _drawn(use.where(F.col("lang") == name).select(F.col("doc_id").cast("long").alias("doc_id"), "text"), chars, sample)
-        if parts:
-            out[name] = SuffixAutomaton(" " + " ".join(parts) + " ").flat()
+    while share:
+        limits = docs.sparkSession.createDataFrame([(k, min(top, int(f * top))) for k, f in share.items()], "lang string, limit long")
+        got: dict[str, list] = {k: [] for k in share}
+        for r in rows.join(F.broadcast(limits), "lang").where(fits & (F.col("h") <= F.col("limit"))).select("lang", "h", "i", "text").collect():
+            got[r.lang].append((r.h, r.i is not None, r.i or 0, r.text))
+        for k, found in got.items():
+            texts, n = [], 0
+            for *_, t in sorted(found):
+                if n + len(t) <= chars:
+                    texts.append(t)
+                    n += len(t)
+                if n > 0.95 * chars:
+                    break
+            if n > 0.95 * chars or share[k] == 1.0:
+                out[k] = texts
+        share = {k: min(1.0, 8 * f) for k, f in share.items() if k not in out}
+    long = [k for k, n in size.items() if not n]
+    if long:
+        shortest = rows.where(F.col("lang").isin(long)).groupBy("lang").agg(F.min(F.struct("n", "h", "i", "text")).alias("m"))
+        out |= {r.lang: [r.m.text] for r in shortest.collect()}
     return out
 
 
+def fit(docs: DataFrame, chars: int = 60_000, most: int = 1000) -> dict[str, tuple[np.ndarray, np.ndarray, int]]:
+    """An automaton for each value of lang in docs (doc_id, text, lang), at most ``most`` values."""
+    use = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    words = {k: [w for t in texts for w in words_of(t)] for k, texts in sorted(_drawn(use, chars, most).items())}
+    return {k: SuffixAutomaton(" " + " ".join(w) + " ").flat() for k, w in words.items() if w}
+
+
 def languages(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score (0 to 1: the margin's probability) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by languages and ``chars``
@@ -131,13 +170,8 @@ def languages(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: st
         automata = [dict(zip(shared.value[k][0].tolist(), shared.value[k][1].tolist())) for k in names]
         bits = np.array([math.log2(shared.value[k][2] + 2) for k in names])
 
-        def word(w):
-            """The phrase counts of a word for all languages, BITS each, in one integer."""
-            codes = [32, *map(ord, w), 32]
-            return sum([phrases(a, codes) << BITS * k for k, a in enumerate(automata)])
-
-        memo = Memo(word, 1 << 18)
-        low = (1 << BITS) - 1
+        parsers = [Parser(a, MEMO // max(1, len(names))) for a in automata]
+        numbers: dict[str, int] = {}
         for batch in batches:
             for part in slices(batch):
                 pred, score = [], []
@@ -147,10 +181,8 @@ def languages(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: st
                         pred.append("und")
                         score.append(0.0)
                         continue
-                    total = np.zeros(len(names))
-                    for i in range(0, len(words), 2048):
-                        packed = sum(map(memo.__getitem__, words[i : i + 2048]))
-                        total += [(packed >> BITS * k) & low for k in range(len(names))]
+                    of = [numbers.setdefault(w, len(numbers)) if len(numbers) < NUMBERED else numbers.get(w, -1) for w in words]
+                    total = np.array([p.count(words, of) for p in parsers])
                     rate = total * bits / (sum(map(len, words)) + len(words))
                     best = int(np.argmin(rate))
                     e = np.exp(-4 * (rate - rate[best]))
