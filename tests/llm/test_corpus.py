@@ -12,6 +12,7 @@ from tests.conftest import SMALL, rows
 from wordloom.llm import bpe_codec, exact, jaccard, language, lines, packing, quality, queries, substrings, token_counts, topk
 from wordloom.llm.common import read_table
 
+PACKED: list = []
 EDGE = [(1, "A b\nc  d "), (2, None), (3, ""), (4, " \n\t"), (5, "A b\nc  d "), (6, "é" * 300), (None, "x y"), (7, "word " * 3000), (7, "word " * 3000), (None, None), (8, "日本語 <|endoftext|> ①\u0085z")]
 
 
@@ -84,7 +85,13 @@ def test_every_language_is_learned(spark):
 def test_short_texts_fill_the_characters(spark):
     docs = spark.createDataFrame([(k, f"{'abcdefghij'[k % 10]} word", "q") for k in range(3000)], "doc_id long, text string, lang string").coalesce(2)
     assert language.fit(docs)["q"][2] == 3000 * 7 + 1
-    assert 0.95 * 5000 < language.fit(docs, chars=5000, sample=10)["q"][2] * 6 / 7 <= 5001
+    assert 0.95 * 5000 < language.fit(docs, chars=5000)["q"][2] * 6 / 7 <= 5001
+
+
+def test_languages_of_long_documents_learn_too(spark):
+    docs = spark.createDataFrame([(1, "abc " * 50, "q"), (2, "abd " * 40, "q"), (3, "x", "r"), (None, "yz", "r"), (4, "12", "s"), (5, None, "t")], "doc_id long, text string, lang string")
+    model = language.fit(docs, chars=100)
+    assert sorted(model) == ["q", "r"] and model["q"][2] == 161 and model["r"][2] == 6
 
 
 def test_phrases_of_a_huge_word(spark):
@@ -93,19 +100,46 @@ def test_phrases_of_a_huge_word(spark):
     assert {r.doc_id: r.lang_pred for r in language.languages(docs, model).collect()} == {1: "b", 2: "a"}
 
 
+def naive_phrases(ref, text):
+    """Longest matches by plain search."""
+    n, i = 0, 0
+    while i < len(text):
+        j = i + 1
+        while text[i:j] in ref and j < len(text) and text[i : j + 1] in ref:
+            j += 1
+        n, i = n + 1, j
+    return n
+
+
 def test_phrases_are_longest_matches():
     r = random.Random(5)
     for _ in range(200):
-        ref, text = ("".join(r.choice("abc") for _ in range(n)) for n in (30, 20))
-        arcs = language.SuffixAutomaton(ref).arcs
-        n, i = 0, 0
+        ref, text = ("".join(r.choice("abc ") for _ in range(n)) for n in (30, 20))
         text += "z" * r.randint(0, 1)
-        while i < len(text):
-            j = i + 1
-            while j < len(text) and text[i : j + 1] in ref and text[i:j] in ref:
-                j += 1
-            n, i = n + 1, j
-        assert language.phrases(arcs, list(map(ord, text))) == n
+        assert language.parse(language.SuffixAutomaton(ref).arcs, 0, list(map(ord, text)))[0] == naive_phrases(ref, text)
+
+
+def test_language_against_brute_force(spark):
+    """The whole prediction, from the formula: fewest phrases times the logarithm of the learned length."""
+    r = random.Random(9)
+    refs = {k: " " + " ".join("".join(r.choice(abc) for _ in range(r.randint(1, 6))) for _ in range(80)) + " " for k, abc in (("p", "abcde"), ("q", "defgh"), ("r", "abgh"))}
+    docs = [(i, " ".join("".join(r.choice("abcdefghz½2é") for _ in range(r.randint(1, 7))) for _ in range(r.randint(0, 30)))) for i in range(150)]
+    docs += [(200, "½ ² ① Ⅷ 12 .,"), (201, None), (202, ""), (203, "e\u0301a ÀB"), (204, "abc" * 2000)]
+    model = {k: language.SuffixAutomaton(t).flat() for k, t in refs.items()}
+    got = {x.doc_id: (x.lang_pred, x.score) for x in language.languages(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()}
+    import unicodedata
+
+    for i, t in docs:
+        plain = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in (t or "").lower())
+        words = plain.split()
+        if not any(unicodedata.category(c)[0] == "L" for c in plain):
+            assert got[i] == ("und", 0.0)
+            continue
+        text = " " + " ".join(words) + " "
+        rate = {k: naive_phrases(ref, text) * np.log2(len(ref) + 2) / (len(text) - 1) for k, ref in refs.items()}
+        best = min(rate, key=lambda k: (rate[k], k))
+        assert got[i][0] == best and got[i][1] == pytest.approx(1 / sum(np.exp(-4 * (x - rate[best])) for x in rate.values()))
+    assert language.languages(spark.createDataFrame([], "doc_id long, text string"), model).count() == 0
 
 
 def test_token_counts(spark):
@@ -142,18 +176,38 @@ def test_codec_edges_and_sharing(spark, edge):
     assert empty.find("a") is None
 
 
-def test_lines_both_ways(spark, edge):
-    d = spark.createDataFrame([(i, f"own {i}\n" + " The same LINE that is longer than forty characters \n" + ("x" * 39)) for i in range(9)] + [(9, None), (None, "")], "doc_id long, text string")
-    a, b = (lines.line_dedup(d, broadcast_bytes=n, shards=3) for n in (1 << 20, 0))
-    assert rows(a) == rows(b)
-    assert sorted((r.doc_id, r.n_dropped) for r in a.collect() if r.n_dropped) == [(i, 1) for i in range(8)]
+def brute_lines(docs, min_docs=5):
+    keys = lambda t: [k.encode().lower() if len(k) >= 40 else None for k in (x.strip(" \t\n\v\f\r") for x in (t or "").split("\n"))]
+    held = defaultdict(list)
+    for i, t in docs:
+        for k in {*keys(t)} - {None}:
+            held[k].append(-1 if i is None else i)
+    gone = lambda i, k: k is not None and len(held[k]) >= min_docs and max(held[k]) != (-1 if i is None else i)
+    return sorted((-1 if i is None else i, "\n".join(x for x, k in zip((t or "").split("\n"), keys(t)) if not gone(i, k))) for i, t in docs)
+
+
+@pytest.mark.parametrize("room", [1 << 20, 64, 0])
+def test_lines_however_many_keys_are_shared(spark, room):
+    r = random.Random(7)
+    pool = [f"{'Line' if k % 2 else 'line'} {k} that is shared and longer than forty characters" for k in range(12)]
+    docs = [(i, "\n".join(r.choice(["\t", ""]) + (x.upper() if r.random() < 0.3 else x) for x in r.sample(pool, r.choice([1, 2, 3])))) for i in range(40)]
+    docs += [(i, pool[0] + f"\nown {i}\n" + "x" * 39) for i in range(40, 70)] + [(70, None), (None, ""), (None, pool[0]), (5, pool[1])]
+    out = lines.line_dedup(spark.createDataFrame(docs, "doc_id long, text string"), broadcast_bytes=room, shards=3)
+    assert sorted((-1 if x.doc_id is None else x.doc_id, x.text) for x in out.collect()) == brute_lines(docs)
+
+
+def test_lines_edges(spark, edge):
     assert lines.line_dedup(edge, carry=["score"]).count() == len(EDGE)
     assert lines.line_dedup(edge.limit(0)).count() == 0
+    assert lines.line_dedup(edge, broadcast_bytes=0).count() == len(EDGE)
 
 
 def test_perfect_hash_is_minimal():
     k = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000, dtype=np.uint64))
-    assert sorted(lines.PerfectHash.of(k).index(k).tolist()) == list(range(len(k)))
+    for a, b in ((k, k[::-1]), (k, k * 0), (k * 0, k)):  # equal halves part by the other half
+        assert sorted(lines.PerfectHash.of(a, b).index(a, b).tolist()) == list(range(len(k)))
+    with pytest.raises(ValueError):
+        lines.PerfectHash.of(np.array([5, 5], dtype=np.uint64), np.array([7, 7], dtype=np.uint64))
 
 
 def test_top_k_edges(spark):
@@ -173,9 +227,29 @@ def test_exact_edges_and_huge_texts(spark, edge):
     docs = edge.select("doc_id", "text")
     assert rows(exact.fingerprints(docs, huge=100)) == rows(exact.fingerprints(docs))
     out = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact.exact_dedup(edge).collect()}
+    assert exact.exact_dedup(edge.limit(0)).count() == 0
     assert {(1, 5, 2, False), (5, 5, 2, True), (2, 3, 3, False), (3, 3, 3, True), (7, 7, 2, True), (None, 3, 3, False), (None, None, 1, True)} <= out
 
 
+def test_chunks_of_huge_texts_are_compared(spark):
+    docs = spark.createDataFrame([(1, "aB" * 60000), (2, "Ab" * 60000), (3, "ab" * 60000), (4, "x"), (5, "X"), (6, "y")], "doc_id long, text string")
+    found = exact.fingerprints(docs, huge=1000)
+    groups = found.groupBy("fp", "n_bytes").agg(F.count("*").alias("n")).where("n > 1")
+    assert groups.count() == 2 and exact.unlike_groups(docs, found, groups, huge=1000).count() == 0
+    wrong = docs.unionByName(spark.createDataFrame([(7, "ab" * 59999 + "ac")], docs.schema))
+    fp = found.where("doc_id = 1").first()
+    more = found.unionByName(exact.fingerprints(wrong.where("doc_id = 7"), huge=1000).withColumn("fp", F.lit(fp.fp)))
+    assert [tuple(r) for r in exact.unlike_groups(wrong, more, groups, huge=1000).collect()] == [(fp.fp, fp.n_bytes)]
+
+
+def test_bitmap_marks_every_group(spark):
+    r = random.Random(5)
+    fps = [r.randrange(1 << 62) for _ in range(20000)]
+    raw = np.frombuffer(exact.bitmap(spark.createDataFrame([(x,) for x in fps], "fp long")), np.uint8)
+    at = exact._slot(np.array(fps), 8 * len(raw))
+    assert (raw[at >> 3] >> (at & 7).astype(np.uint8) & 1).all() and np.unpackbits(raw).mean() < 0.2
+
+
 def test_fingerprints_combine():
     a, b = b"abc" * 50, b"xyz" * 9
     assert exact.fingerprint(a + b) == exact.combine(exact.fingerprint(a), exact.fingerprint(b), len(b))
@@ -185,8 +259,9 @@ def test_equal_fingerprints_of_unlike_texts(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a", "b", "A", "b", "c"])], "doc_id long, text string")
     true = exact.fingerprints(docs)
     monkeypatch.setattr(exact, "fingerprints", lambda d, huge=0: true.withColumns({"fp": F.lit(1).cast("long"), "n_bytes": F.lit(1).cast("long")}))
-    plain = exact._with_fingerprint
-    monkeypatch.setattr(exact, "_with_fingerprint", lambda d: plain(d).withColumns({"fp": F.lit(1).cast("long"), "n_bytes": F.lit(1).cast("long")}))
+    same = {"fp": F.lit(1).cast("long"), "n_bytes": F.lit(1).cast("long")}
+    plain = exact._members
+    monkeypatch.setattr(exact, "_members", lambda d, marks: plain(d, b"\xff" * len(marks)).withColumns(same))
     out = sorted((r.doc_id, r.keep_id, r.group_size) for r in exact.exact_dedup(docs).collect())
     assert out == [(0, 2, 2), (1, 3, 2), (2, 2, 2), (3, 3, 2), (4, 4, 1)]
 
@@ -319,26 +394,115 @@ def test_packing(spark, edge):
 
 def test_cuts_against_brute_force():
     r = random.Random(6)
-    for _ in range(100):
-        position = np.cumsum([0] + [r.randint(1, 9) for _ in range(12)])
-        penalty = np.array([0] + [r.choice([0, 2, 12]) for _ in range(12)])
-        best = [0] + [None] * 12
-        for k in range(1, 13):
-            best[k] = min(best[j] + 20 + penalty[k] for j in range(k) if position[k] - position[j] <= 20)
-        assert [c for c, _ in packing.cuts(position, penalty, 20)] == best
+    late = 0
+    for _ in range(400):
+        n, window = r.randint(1, 40), 16
+        position = np.cumsum([r.randint(1, 7) for _ in range(n)]).tolist()
+        penalty = [r.choice([0, 2, 12]) for _ in range(n - 1)] + [0]
+        known = dict(zip(position, penalty))
+        best = {0: 0}
+        for p in position:
+            best[p] = min(best[j] + window + known[p] for j in best if p - j <= window)
+        power = lambda t: t & (t - 1) == 0
+        end = position[-1]
+
+        def tail(j):
+            out, p = end - j, j
+            while p < end:
+                p += 1 << ((end - p).bit_length() - 1)
+                out += known.get(p, packing.BROKEN) if p < end else 0
+            return min(out, end - j if power(end - j) else window)
+
+        want = min(best[j] + tail(j) for j in best if 0 < end - j <= window)
+
+        def cost(ends):
+            total, a = 0, 0
+            for b in ends:
+                t = b - a
+                total += (t if power(t) and end - a <= window else window) + (0 if b == end else known.get(b, packing.BROKEN))
+                a = b
+            return total
+
+        whole = packing.Cutter(window)
+        whole.extend(position, penalty)
+        ends = whole.final()
+        ends = ends + whole.finish()
+        assert ends[-1] == end and all(0 < b - a <= window for a, b in zip([0, *ends], ends)) and cost(ends) <= want
+        pieces, parts, i = packing.Cutter(window), [], 0
+        while i < n:
+            k = r.randint(1, 6)
+            pieces.extend(position[i : i + k], penalty[i : i + k])
+            parts += pieces.final()
+            i += k
+        late += len(parts) > 2
+        assert parts + pieces.finish() == ends
+    assert late > 100
+
+
+@pytest.mark.parametrize("rows_each", [1, 7, 500])
+def test_packing_does_not_depend_on_batches(spark, rows_each):
+    docs = spark.createDataFrame(texts(spark, 200) + [(1001, "x " * 9000), (1002, "abc" * 20000)], "doc_id long, text string").coalesce(1)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_each)
+    try:
+        out = sorted(map(tuple, packing.pack(docs, P.path("byte_bpe_50k.json")).collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    PACKED.append(out)
+    assert out == PACKED[0]
+
+
+def brute_pipeline(docs, kept):
+    """The stages from line dedup to passages in plain Python, over (doc_id, text) rows with unlike ids that quality kept."""
+    docs = [(i, t) for i, t in docs if i in kept]
+    after_lines = dict(brute_lines(docs))
+    links = brute_links(sorted(after_lines.items()))
+    alone = {i: t for i, t in after_lines.items() if links[i][1] == i}
+    words = brute_passages(sorted(alone.items()))
+    return after_lines, alone, words
+
+
+@pytest.fixture(scope="session")
+def stages(spark, tmp_path_factory):
+    """What each stage returns for a table with columns that clash with the operators' own."""
+    import corpus_pipeline as C
+
+    docs = read_table(spark, SMALL, "documents").withColumns({"score": F.lit(1), "kept_id": F.lit("k"), "row": F.lit(2.0), "b": F.lit(0), "size": F.lit(9)})
+    out = {"documents": docs}
+    for name, stage in C.STAGES:
+        path = str(tmp_path_factory.mktemp("stage") / name)
+        new = stage(spark, docs, SMALL)
+        assert name == "packing" or new.columns == docs.columns
+        new.write.parquet(path)
+        out[name] = docs = spark.read.parquet(path)
+    return out
+
+
+def test_pipeline_against_brute_force(spark, stages):
+    from tokenizers import Tokenizer
+
+    texts_of = lambda name: {r.doc_id: r.text for r in stages[name].select("doc_id", "text").collect()}
+    before = [(r.doc_id, r.text) for r in stages["documents"].select("doc_id", "text").collect()]
+    model = quality.fit(stages["documents"].select("doc_id", "text"), quality.labelled(spark, SMALL))
+    scores = {r.doc_id: r.score for r in quality.quality_scores(stages["documents"].select("doc_id", "text"), model).collect()}
+    kept = {i for i, s in scores.items() if s >= quality.THRESHOLD}
+    assert set(texts_of("quality")) == kept and 0 < len(kept) < len(before)
+    after_lines, alone, words = brute_pipeline(before, kept)
+    assert texts_of("lines") == after_lines
+    assert texts_of("near_copies") == alone and len(alone) < len(after_lines)
+    passages = texts_of("passages")
+    assert set(passages) == set(alone) and any(gone for _, gone, _ in words.values())
+    for i, (_, gone, sha) in words.items():
+        assert passages[i] == alone[i] if not gone else hashlib.sha256((passages[i] or "").encode()).hexdigest() == sha
+    assert all(r.n_chars == len(r.text or "") for r in stages["passages"].select("n_chars", "text").collect())
+    lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    sizes = {i: len(lib.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in passages.items()}
+    got = {r.doc_id: r.n for r in stages["packing"].groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert got == sizes
 
 
-def test_pipeline(spark, tmp_path):
+def test_pipeline_runs_as_a_query(spark, stages):
     import corpus_pipeline as C
 
-    docs = read_table(spark, SMALL, "documents")
-    docs, d = docs.withColumn("score", F.lit(1)), None
-    for k, (name, stage) in enumerate(C.STAGES):
-        out = stage(spark, docs, SMALL)
-        if k < len(C.STAGES) - 1:
-            assert out.columns == docs.columns
-            out.write.parquet(str(tmp_path / name))
-            d = spark.read.parquet(str(tmp_path / name))
-            assert 0 < d.count() <= docs.count()
-            docs = d
-    assert out.groupBy().agg(F.sum("length")).first()[0] > 0
+    out = C.run(spark, SMALL)
+    assert out.groupBy().agg(F.sum("length")).first()[0] == stages["packing"].groupBy().agg(F.sum("length")).first()[0]
