@@ -1,7 +1,7 @@
 import pytest
 
 from tests.conftest import SMALL, rows
-from wordloom.plans.catalogue import ORACLES, QUERIES
+from wordloom.plans.everything import ORACLES, QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

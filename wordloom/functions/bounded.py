@@ -4,19 +4,25 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df written to the folder of spark.checkpoint.dir (a local one only in local mode) and read from there."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir (a local one only in local mode); checkpoints go there too."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        where = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
         if not where:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             where = tempfile.mkdtemp(prefix="wordloom-")
         context.setCheckpointDir(where)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

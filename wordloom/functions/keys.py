@@ -109,3 +109,20 @@ def mapped_chars(c: Column, pairs: dict[str, str], least: int = 2) -> Column:
 def mapped_path(c: Column, pairs: dict[str, str]) -> Column:
     """The same for the segments of a path, if the path has two characters or more in all."""
     return F.when(F.length(F.replace(c, F.lit(PATH_MARK), F.lit(""))) >= 2, F.translate(c, "".join(pairs), "".join(pairs.values()))).otherwise(c)
+
+
+def mapped_weights(c: Column, pairs: dict[str, str]) -> Column:
+    """A list ``word:weight|word:weight`` with its words converted; the last colon splits."""
+    one = lambda x: F.concat(mapped_chars(F.regexp_replace(x, ":[^:]*$", ""), pairs), F.lit(":"), F.substring_index(x, ":", -1))
+    return F.array_join(F.transform(F.split(c, r"\|"), one), "|")
+
+
+def stretches(c: Column, alphabet: str) -> Column:
+    """The longest runs of characters of an alphabet, such as that of a lexicon."""
+    quoted = "".join(f"\\x{{{ord(x):x}}}" for x in sorted(set(alphabet)))
+    return F.regexp_extract_all(c, F.lit(f"([{quoted}]+)"), F.lit(1))
+
+
+def is_name(c: Column, profile: UnitProfile = CJK, least: int = 2, most: int = 8) -> Column:
+    """Nothing but units, of bounded length."""
+    return c.rlike(f"^[{profile.unit}]{{{least},{most}}}$")

@@ -6,8 +6,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def prefix_top(lexicon: DataFrame, k: int = 6, least: int = 1, most: int = 12) -> DataFrame:
-    """prefix, reading, text, weight, rank: the best k entries whose reading starts with each proper prefix."""
+def prefix_top(lexicon: DataFrame, k: int = 6, least: int = 1, most: int = 12, specialist: DataFrame | None = None, bound: str | None = None) -> DataFrame:
+    """prefix, reading, text, weight, rank: the best k entries whose reading starts with each proper prefix.
+
+    Texts of ``specialist`` take no place.  ``bound`` is a final syllable that only belongs to what is before it (as r does): an
+    entry that is another entry with it at the end of its reading and one unit more takes no place either.
+    """
+    if specialist is not None:
+        lexicon = lexicon.join(specialist.select("text").distinct(), "text", "left_anti")
+    if bound:
+        base = lexicon.select(F.concat("reading", F.lit(bound)).alias("reading"), F.col("text").alias("_base")).distinct()
+        tail = lexicon.where(F.col("reading").endswith(bound)).join(base, "reading").where(F.expr("substring(text, 1, length(text) - 1) = _base"))
+        lexicon = lexicon.join(tail.select("reading", "text").distinct(), ["reading", "text"], "left_anti")
     cut = F.sequence(F.lit(least), F.least(F.length("reading") - 1, F.lit(most)))
     df = lexicon.where(F.length("reading") > least).withColumn("prefix", F.explode(F.transform(cut, lambda i: F.substring("reading", F.lit(1), i))))
     w = Window.partitionBy("prefix").orderBy(F.desc("weight"), "reading", "text")

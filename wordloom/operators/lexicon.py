@@ -71,3 +71,18 @@ def add_only(lexicon: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows whose key the lexicon lacks, appended."""
     new = rows.join(lexicon.select("reading", "text"), ["reading", "text"], "left_anti")
     return lexicon.unionByName(new.select(*lexicon.columns))
+
+
+def entry_index(lexicon: DataFrame) -> DataFrame:
+    """text, entries: for each text its (reading, weight, rank within the reading, top weight of the reading), the weightiest first."""
+    by_reading = Window.partitionBy("reading")
+    rows = ranked(lexicon).withColumn("top", F.max("weight").over(by_reading))
+    entry = F.struct((-F.col("weight")).alias("o"), "reading", "weight", "rank", "top")
+    entries = F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.struct(e["reading"].alias("reading"), e["weight"].alias("weight"), e["rank"].alias("rank"), e["top"].alias("top")))
+    return rows.groupBy("text").agg(entries.alias("entries"))
+
+
+def only_characters(a: DataFrame, b: DataFrame) -> DataFrame:
+    """char: the characters of texts of a that no text of b has."""
+    chars = lambda df: df.select(F.explode(F.split("text", "")).alias("char")).where("char <> ''").distinct()
+    return chars(a).join(chars(b), "char", "left_anti")

@@ -139,3 +139,40 @@ def kept_weights(base: DataFrame, new: DataFrame) -> DataFrame:
     """New transitions with the base's weight wherever the base has one; base rows stay."""
     b, n = base.select("reading", "path", F.col("weight").alias("old")), new.select("reading", "path", F.col("weight").alias("now"))
     return b.join(n, ["reading", "path"], "full").select("reading", "path", F.coalesce("old", "now").alias("weight"))
+
+
+def nbest_priors(segmentations: DataFrame, n: int = 2) -> DataFrame:
+    """path, weight: word n-grams of the segmentations (stretch, n, score, pieces) of a corpus; near-best ones count by their share of the probability."""
+    total = F.log(F.sum(F.exp(F.col("score") - F.col("best"))).over(Window.partitionBy("stretch")))
+    rows = segmentations.withColumn("best", F.max("score").over(Window.partitionBy("stretch"))).withColumn("share", F.exp(F.col("score") - F.col("best") - total))
+    grams = ngrams(rows, n, ["n", "share"], "pieces")
+    return grams.groupBy(F.concat_ws("|", "gram").alias("path")).agg(F.sum(F.col("n") * F.col("share")).alias("weight"))
+
+
+def guarded_pairs(pairs: DataFrame, lexicon: DataFrame, tails: DataFrame | None = None, least_sources: int = 4, least_contexts: int = 2, homophone_lead: float = 2.0, extension_share: float = 0.9) -> DataFrame:
+    """Pairs (left, right, reading, n, sources, lefts, rights) that may stand as transitions of their own.
+
+    lefts, rights: how many different words stand before and after.  A pair stays if it has the sources and, on either
+    side, the contexts; if its whole is no lexicon text; if its right word is not of a barred kind (``tails``: text); if no
+    homophone has over 1/``homophone_lead`` of its count but the strongest of its reading; and if no longer word of the lexicon
+    that begins with it accounts for ``extension_share`` of its occurrences (lexicon: text, n).
+    """
+    p = pairs.withColumn("text", F.concat("left", "right")).where((F.col("sources") >= least_sources) & (F.col("lefts") >= least_contexts) & (F.col("rights") >= least_contexts))
+    p = p.join(lexicon.select("text").distinct(), "text", "left_anti")
+    if tails is not None:
+        p = p.join(tails.select(F.col("text").alias("right")).distinct(), "right", "left_anti")
+    longer = lexicon.select("n", F.explode(F.transform(F.sequence(F.lit(1), F.length("text") - 1), lambda k: F.substring("text", F.lit(1), k))).alias("text"))
+    longer = longer.groupBy("text").agg(F.sum("n").alias("inside"))
+    p = p.join(longer, "text", "left").where(F.coalesce("inside", F.lit(0)) < extension_share * F.col("n"))
+    w = Window.partitionBy("reading").orderBy(F.desc("n"), "text")
+    p = p.withColumn("k", F.row_number().over(w)).withColumn("first", F.first("n").over(w))
+    return p.where((F.col("k") == 1) | (F.col("n") * homophone_lead > F.col("first"))).select("left", "right", "reading", "n", "sources", "k")
+
+
+def strong_single_pairs(pairs: DataFrame, lexicon: DataFrame, crossing: DataFrame, least_sources: int = 4, share: float = 0.5) -> DataFrame:
+    """Pairs of single units (left, right, reading, n, sources) outside the lexicon whose occurrences (crossing: left, right, n) seldom cross the edge of words:
+    at most 1 - ``share`` of them; one for each reading, and the runner-up if it has over half of its count."""
+    p = pairs.where((F.length("left") == 1) & (F.length("right") == 1)).withColumn("text", F.concat("left", "right"))
+    c = crossing.select("left", "right", F.col("n").alias("across"))
+    p = p.join(c, ["left", "right"], "left").where(F.coalesce("across", F.lit(0)) <= (1 - share) * F.col("n"))
+    return independent_pairs(p.select("text", "reading", "n", "sources"), lexicon, least_sources)

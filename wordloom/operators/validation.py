@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fnmatch import fnmatch
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -80,3 +81,9 @@ def licences(manifest: list[dict], profile: str, barred: tuple[str, ...] = ("gpl
 
 def all_of(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [f.groupBy("rule").agg(F.count("*").alias("n")) for f in frames])
+
+
+def files(names: list[str], required: list[str], barred: list[str]) -> list[tuple[str, str]]:
+    """(rule, name): required files that are missing, and files that match a barred pattern (as of fnmatch) and must not be published."""
+    gone = [("missing", r) for r in required if r not in set(names)]
+    return gone + sorted(("forbidden", n) for n in names if any(fnmatch(n, p) or fnmatch(n.rsplit("/", 1)[-1], p) for p in barred))

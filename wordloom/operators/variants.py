@@ -76,6 +76,11 @@ def repaired(rows: DataFrame, a: str, b: str, converted: Column) -> DataFrame:
     return rows.withColumn("repaired", fix).withColumn(b, F.when(fix, converted).otherwise(F.col(b)))
 
 
+def same_length(rows: DataFrame, text: str, converted: Column) -> DataFrame:
+    """Rows whose conversion (column converted) has as many characters, so that positions correspond; the others go."""
+    return rows.withColumn("converted", converted).where(F.length("converted") == F.length(text))
+
+
 def phrase_converter(phrases: dict[str, str], chars: dict[str, str]) -> Callable:
     """A vectorised column function: the longest phrase at each place wins, then characters one by one."""
     most = max(map(len, phrases), default=1)

@@ -179,7 +179,7 @@ def pairs(spark, d):
     return scored(spark, d, 2).where("evidence >= 450").select("words", "syl", "evidence")
 
 
-@query(_BASE + ", t AS (SELECT words, evidence FROM s3 WHERE n >= 3) SELECT array_to_string(t.words, '|') AS path, (least(l.evidence, r.evidence) + greatest(0, t.evidence - 360))::INT AS evidence FROM t JOIN p l ON t.words[1:2] = l.words JOIN p r ON t.words[2:3] = r.words")
+@query(_BASE + ", t AS (SELECT words, evidence FROM s3 WHERE n >= 3) , k AS MATERIALIZED (SELECT words[1] || '|' || words[2] AS w, evidence FROM p), u AS MATERIALIZED (SELECT array_to_string(words, '|') AS path, words[1] || '|' || words[2] AS a, words[2] || '|' || words[3] AS b, evidence FROM t) SELECT path, (least(l.evidence, r.evidence) + greatest(0, u.evidence - 360))::INT AS evidence FROM u JOIN k l ON u.a = l.w JOIN k r ON u.b = r.w")
 def pair_backed_trigrams(spark, d):
     return transitions.pair_backed(scored(spark, d, 3), pairs(spark, d)).select(F.concat_ws("|", "words").alias("path"), "evidence")
 
@@ -216,9 +216,27 @@ def completion_rows_visible(spark, d):
     return _completions(spark, d, 8)
 
 
-@query()
+def _index_rows(name, lm, most):
+    """The CTEs of the index rows over the paths of ``lm``: what completions() does, in SQL."""
+    side = lambda p, at: f"{p}_{name} AS (SELECT * FROM {lm} WHERE len(words) = 3 QUALIFY row_number() OVER (PARTITION BY words[{at}:{at + 1}] ORDER BY evidence DESC, words) <= 6)"
+    return f"""{side("l", 2)}, {side("r", 1)},
+f_{name} AS (SELECT list_append(a.words, b.words[3]) AS words, least(a.evidence, b.evidence) - 36 AS evidence, 12 AS source_count FROM l_{name} a JOIN r_{name} b ON a.words[2:3] = b.words[1:2] WHERE least(a.evidence, b.evidence) - 36 >= 560),
+x_{name} AS (SELECT *, unnest(generate_series(1, least(3, len(words) - 1))) AS a FROM (SELECT words, evidence, 12 AS source_count FROM s2 WHERE n >= 3 AND evidence >= 560 UNION ALL SELECT * FROM {lm} UNION ALL SELECT * FROM f_{name})),
+z_{name} AS (SELECT words[1:a] AS anchor, words[a + 1:] AS suffix, array_to_string(words[a + 1:], '') AS text, list_transform(words[a + 1:], lambda w: regexp_replace(w, '[^a-z]', '', 'g')) AS syl, evidence + (a - 1) * 18 - (len(words) - a - 1) * 14 AS evidence, source_count AS sources FROM x_{name}),
+q_{name} AS (SELECT * FROM z_{name} QUALIFY row_number() OVER (PARTITION BY anchor, text, syl ORDER BY evidence DESC, len(suffix), sources DESC, suffix DESC) = 1),
+{name} AS (SELECT * FROM q_{name} QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY evidence DESC, sources DESC, len(syl), suffix, syl) <= {most})"""
+
+
+_STRONGEST = "SELECT words, m.evidence AS evidence, m.source_count AS source_count FROM (SELECT words, max(struct_pack(evidence := evidence, source_count := source_count)) AS m FROM ({}) GROUP BY words)"
+
+
+@query(_BASE + f""", lm AS (SELECT words, evidence, source_count, visible FROM s2 WHERE n >= 3 UNION ALL SELECT words, evidence, source_count, visible FROM s3 WHERE n >= 3), seen AS (SELECT words, evidence, source_count FROM lm WHERE visible),
+bk AS (SELECT t.words, least(l.evidence, r.evidence) + greatest(0, t.evidence - 360) AS evidence, 12 AS source_count FROM seen t JOIN p l ON t.words[1:2] = l.words JOIN p r ON t.words[2:3] = r.words WHERE len(t.words) = 3),
+st AS MATERIALIZED ({_STRONGEST.format("SELECT * FROM seen UNION ALL SELECT * FROM bk")}), ac AS MATERIALIZED ({_STRONGEST.format("SELECT * FROM st UNION ALL SELECT words, evidence, source_count FROM lm WHERE NOT visible")}),
+{_index_rows("shown", "st", 8)}, {_index_rows("recall", "ac", 24)}
+SELECT array_to_string(r.anchor, '|') AS anchor, array_to_string(r.suffix, '|') AS suffix, r.evidence::INT AS evidence, r.sources::INT AS sources, EXISTS (SELECT 1 FROM shown s WHERE s.anchor = r.anchor AND s.suffix = r.suffix AND s.syl = r.syl) AS visible FROM recall r""")
 def completion_index(spark, d):
-    """Pairs, paths and four-word paths together; ties make SQL unwieldy, so a test checks it by brute force."""
+    """Pairs, paths and four-word paths together."""
     s2, s3 = settled(scored(spark, d, 2)), settled(scored(spark, d, 3))  # each is read many times below
     index = transitions.completion_index(s2.where("evidence >= 450").select("words", "syl", "evidence"), s2.unionByName(s3))
     return index.select(F.concat_ws("|", "anchor").alias("anchor"), F.concat_ws("|", "suffix").alias("suffix"), "evidence", "sources", "visible")
@@ -260,7 +278,7 @@ ORACLES["pattern_support_join"] = ORACLES["pattern_support_scan"]
 
 
 @query(f"""WITH {_WC}, small AS (SELECT text FROM wc WHERE length(text) BETWEEN 2 AND 8 AND n >= 20), ps AS (SELECT text, unnest(generate_series(0, length(text) - 1)) AS p0 FROM wc),
-sp AS (SELECT text, p0, k FROM (SELECT text, p0, unnest(generate_series(2, 8)) AS k FROM ps) x WHERE p0 + k <= length(text) AND substring(text, p0 + 1, k) IN (SELECT text FROM small)),
+su AS MATERIALIZED (SELECT text, p0, k, substring(text, p0 + 1, k) AS span FROM ps, (SELECT unnest(generate_series(2, 8)) AS k) WHERE p0 + k <= length(text)), sp AS (SELECT su.text, p0, k FROM su SEMI JOIN small ON su.span = small.text),
 cv AS (SELECT DISTINCT text, unnest(generate_series(p0, p0 + k - 1)) AS p0, true AS hit FROM sp)
 SELECT text AS word, p0::INT AS position, coalesce(hit, false) AS covered FROM ps LEFT JOIN cv USING (text, p0)""")
 def word_cover_positions(spark, d):
@@ -275,7 +293,8 @@ def variant_twin_merge(spark, d):
     return variants.merged_twins(rows, ["reading", "text"], {"text": F.translate("text", _A, _B)}, F.col("weight"))
 
 
-@query()
+@query(f"""WITH {_TOK}, {_G2}, {_EV.format(n=2)}, g AS (SELECT translate(array_to_string(gram, ' '), '{_A}', '{_B}') AS gram, array_to_string(gram, ' ') AS ord, round_even(1000 * ln(n / 1e6), 0) AS score FROM e2 WHERE n >= 2)
+SELECT gram, list_reduce(list(score ORDER BY ord), lambda a, b: round_even(greatest(a, b) + 1000 * ln(1 + exp((least(a, b) - greatest(a, b)) / 1000.0)), 0))::INT AS score, '0' AS backoff FROM g GROUP BY gram""")
 def ngram_logsumexp_merge(spark, d):
     g = grams(spark, d, 2).where("n >= 2").select(F.translate(F.concat_ws(" ", "gram"), _A, _B).alias("gram"), F.concat_ws(" ", "gram").alias("ord"), F.bround(1000 * F.log(F.col("n") / 1e6)).cast("int").alias("score"), F.lit("0").alias("backoff"))
     return variants.log_sum_exp(g)
@@ -347,14 +366,31 @@ def _stretches(spark, d):
     return wc.select(F.col("text").alias("stretch"), "n"), wc.where((F.length("text") >= 2) & (F.col("n") >= 20))
 
 
-@query()
+_ST = f"{_WC}, lx AS MATERIALIZED (SELECT text FROM wc WHERE length(text) >= 2 AND n >= 20), po AS (SELECT text, unnest(generate_series(0, length(text) - 1)) AS p0 FROM wc), sn AS MATERIALIZED (SELECT po.text, p0, length(lx.text) AS k FROM (SELECT text, p0, k, substring(text, p0 + 1, k) AS span FROM po, (SELECT DISTINCT length(text) AS k FROM lx) WHERE p0 + k <= length(text)) po JOIN lx ON po.span = lx.text AND po.k = length(lx.text))"
+_GREEDY = "g1 AS MATERIALIZED (SELECT piece, sum(n)::BIGINT AS n FROM (SELECT n, substring(text, p0 + 1, k) AS piece FROM gc) GROUP BY 1)"
+_GREEDY = f"gb AS MATERIALIZED (SELECT po.text, po.p0, coalesce(max(k), 1) AS k FROM po LEFT JOIN sn USING (text, p0) GROUP BY 1, 2), gc AS (SELECT wc.text, n, 0 AS p0, k FROM wc JOIN gb ON gb.text = wc.text AND gb.p0 = 0 UNION ALL SELECT gc.text, gc.n, gb.p0, gb.k FROM gc JOIN gb ON gb.text = gc.text AND gb.p0 = gc.p0 + gc.k), {_GREEDY}"
+
+
+def _likeliest(i):
+    """The CTEs of pass i (2 or later): fewest pieces, then likeliest by the counts of pass i - 1, of equal ones the longest last piece."""
+    g = f"g{i - 1}"
+    cost = f"ln((coalesce(c.n, 0) + 0.5) / (SELECT sum(n) FROM {g})) - 1000.0"
+    return f"""sp{i} AS (SELECT s.text, p0, p0 + k AS e, {cost} AS c FROM (SELECT text, p0, k, substring(text, p0 + 1, k) AS w FROM sn UNION ALL SELECT text, p0, 1, substring(text, p0 + 1, 1) FROM po) s LEFT JOIN {g} c ON c.piece = s.w),
+en{i} AS MATERIALIZED (SELECT text, e, list(struct_pack(s := p0, c := c)) AS sp FROM sp{i} GROUP BY 1, 2),
+dp{i} AS (SELECT text, 0 AS e, [0.0::DOUBLE] AS v, [0::BIGINT] AS b FROM wc UNION ALL
+ SELECT text, e, list_append(v, m.v), list_append(b, -m.o) FROM (SELECT d.text, en.e, d.v, d.b, list_max(list_transform(en.sp, lambda x: struct_pack(v := d.v[x.s + 1] + x.c, o := -x.s::BIGINT))) AS m FROM dp{i} d JOIN en{i} en ON en.text = d.text AND en.e = d.e + 1)),
+bt{i} AS (SELECT text, b, length(text)::BIGINT AS e FROM dp{i} WHERE e = length(text) UNION ALL SELECT text, b, b[e + 1] FROM bt{i} WHERE b[e + 1] > 0),
+g{i} AS MATERIALIZED (SELECT piece, sum(n)::BIGINT AS n FROM (SELECT n, substring(bt.text, b[e + 1] + 1, e - b[e + 1]) AS piece FROM bt{i} bt JOIN wc USING (text)) GROUP BY 1)"""
+
+
+@query(f"WITH RECURSIVE {_ST}, {_GREEDY} SELECT piece, n FROM g1")
 def greedy_segmentation_counts(spark, d):
     """The lexicon is whole; over segmentation.MOST_WORDS words it is an error."""
     s, words = _stretches(spark, d)
     return segmentation.piece_counts(s, {r.text: r.n for r in read_bounded(words, segmentation.MOST_WORDS)}, mode="greedy")
 
 
-@query()
+@query(f"WITH RECURSIVE {_ST}, {_GREEDY}, {', '.join(_likeliest(i) for i in range(2, 7))} SELECT piece, n FROM g6")
 def min_word_segmentation_counts(spark, d):
     """The lexicon is whole; over segmentation.MOST_WORDS words it is an error."""
     return segmentation.reestimated(*_stretches(spark, d))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import io
+import json
 import zipfile
+from collections.abc import Callable
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -56,8 +59,8 @@ def dictionary_lenient(spark: SparkSession, path: str, readings: int = 8) -> Dat
     return df.withColumn("rank", rank).where(F.col("rank") <= readings)
 
 
-def counts(spark: SparkSession, path: str) -> DataFrame:
-    """text, n of a count table with # comments."""
+def counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """text, n of a count table with # comments; path may be a list."""
     return spark.read.csv(path, sep="\t", comment="#", schema="text STRING, n BIGINT", quote="")
 
 
@@ -83,16 +86,31 @@ def text_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 def json_corpus(spark: SparkSession, path: str) -> DataFrame:
     """source, domain, ord, text of JSON lines (plain or zstandard); held-out files are left out, bad records too."""
-    df = lines(spark, path).where(F.col("file").rlike(r"\.jsonl(\.zst)?$"))
+    df = lines(spark, path).where(F.col("file").rlike(r"\.jsonl?(\.zst|\.gz)?$"))
     name = F.element_at(F.split("file", "/"), -1)
-    df = df.where(~F.regexp_replace(name, r"\.zst$", "").isin(*HOLDOUTS))
+    df = df.where(~F.regexp_replace(name, r"\.(zst|gz)$", "").isin(*HOLDOUTS))
     r = F.from_json("line", "source STRING, dataset STRING, id STRING, doc_id STRING, doc_hash STRING")
     record = F.concat_ws(":", "file", F.coalesce(r["source"], r["dataset"]), F.coalesce(r["id"], r["doc_id"], r["doc_hash"], F.col("ord")["seq"].cast("string")))
-    return df.select(record.alias("source"), F.regexp_replace(name, r"\.jsonl.*$", "").alias("domain"), "ord", F.explode(record_text(F.col("line"))).alias("text"))
+    return df.select(record.alias("source"), F.regexp_replace(name, r"\.jsonl?(\..*)?$", "").alias("domain"), "ord", F.explode(record_text(F.col("line"))).alias("text"))
 
 
-def zip_members(spark: SparkSession, path: str, suffix: str = ".txt", chunk: int = 16 << 20) -> DataFrame:
-    """source (archive!member), part, text: members decoded piece by piece."""
+def json_documents(spark: SparkSession, path: str) -> DataFrame:
+    """source, id, text of JSON lines, plain or compressed: text or else content; source or dataset or else the file; id, doc_id, doc_hash or else the row's place."""
+    df = lines(spark, path).where(F.col("file").rlike(r"\.jsonl?(\.zst|\.gz)?$"))
+    r = F.from_json("line", "text STRING, content STRING, source STRING, dataset STRING, id STRING, doc_id STRING, doc_hash STRING")
+    name = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.jsonl?(\..*)?$", "")
+    place = F.concat_ws(":", F.col("ord")["block"].cast("string"), F.col("ord")["seq"].cast("string"))
+    out = df.select(F.coalesce(r["source"], r["dataset"], name).alias("source"), F.coalesce(r["id"], r["doc_id"], r["doc_hash"], place).alias("id"), F.coalesce(r["text"], r["content"]).alias("text"))
+    return out.where(F.col("text") != "")
+
+
+def archives(spark: SparkSession, path: str) -> DataFrame:
+    """path, content of whole files; an archive is read in one piece, so each must be under 2 GB."""
+    return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
+def zip_members(files: DataFrame, suffix: str = ".txt", chunk: int = 16 << 20) -> DataFrame:
+    """source (archive!member), part, text of archives (path, content): members decoded piece by piece."""
 
     def run(batches):
         import codecs
@@ -104,21 +122,68 @@ def zip_members(spark: SparkSession, path: str, suffix: str = ".txt", chunk: int
                         decode, k = codecs.getincrementaldecoder("utf-8-sig")("replace").decode, 0
                         with z.open(member) as f:
                             while raw := f.read(chunk):
-                                yield pa.record_batch([[f"{name}!{member}"], pa.array([k]), [decode(raw)]], names=["source", "part", "text"])
+                                yield pa.record_batch([pa.array([f"{name}!{member}"]), pa.array([k], pa.int64()), pa.array([decode(raw)])], names=["source", "part", "text"])
                                 k += 1
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "source string, part long, text string")
+    return files.select("path", "content").mapInArrow(run, "source string, part long, text string")
 
 
-def pinned(spark: SparkSession, path: str, sha256: str) -> DataFrame:
-    """text, n from lines ``text  number`` of a file whose digest must be the one given."""
-    df = spark.read.format("binaryFile").load(path)
+def pinned(files: DataFrame, sha256: str, suffix: str | None = None) -> DataFrame:
+    """text, n from lines ``text  number`` of a file (path, content) whose digest must be the one given; with ``suffix``, of the zip members so named."""
     right = F.when(F.sha2("content", 256) == sha256, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("wrong digest: "), "path")).cast("boolean"))
-    row = F.explode(F.split(F.decode("content", "utf-8"), r"\r?\n")).alias("line")
-    parsed = df.where(right).select(row)
+    files = files.where(right)
+    if suffix:
+        parts = zip_members(files, suffix).groupBy("source").agg(F.expr("listagg(text, '') WITHIN GROUP (ORDER BY part)").alias("whole"))
+    else:
+        parts = files.select(F.decode("content", "utf-8").alias("whole"))
+    parsed = parts.select(F.explode(F.split("whole", r"\r?\n")).alias("line"))
     return parsed.select(F.regexp_extract("line", r"^(.+?)\s+(\d+)\s*$", 1).alias("text"), F.expr(r"try_cast(regexp_extract(line, '^(.+?)\\s+(\\d+)\\s*$', 2) AS BIGINT)").alias("n")).where("n IS NOT NULL")
 
 
+def cedict(spark: SparkSession, path: str) -> DataFrame:
+    """traditional, simplified, reading, gloss of a CC-CEDICT file, plain or gzip; # lines and lines of another shape are left out."""
+    form = r"^(\S+) (\S+) \[([^\]]*)\] /(.*)/\s*$"
+    df = lines(spark, path).where(~F.col("line").startswith("#") & F.col("line").rlike(form))
+    return df.select(*[F.regexp_extract("line", form, k).alias(c) for k, c in enumerate(("traditional", "simplified", "reading", "gloss"), 1)])
+
+
+def cached(path: str, parameters: dict, fetch: Callable[[dict], list]) -> list:
+    """What a remote service answers (JSON values), from the cache file if that was written for the same parameters; else fetched and kept.
+
+    The answers are pages that a driver can hold; bindings() makes rows of them.
+    """
+    try:
+        with open(path, encoding="utf-8") as f:
+            kept = json.load(f)
+    except (FileNotFoundError, json.JSONDecodeError):
+        kept = {}
+    if kept.get("parameters") != parameters:
+        kept = {"parameters": parameters, "pages": fetch(parameters)}
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(kept, f, ensure_ascii=False)
+    return kept["pages"]
+
+
+def bindings(pages: DataFrame, names: list[str], numbers: list[str] = ()) -> DataFrame:
+    """Rows of query answers (column page, JSON: results.bindings[].name.value); what is no whole number counts as 0."""
+    cell = "STRUCT<value: STRING>"
+    shape = f"results STRUCT<bindings: ARRAY<STRUCT<{', '.join(f'`{c}`: {cell}' for c in (*names, *numbers))}>>>"
+    rows = pages.select(F.explode(F.from_json("page", shape)["results"]["bindings"]).alias("b"))
+    number = lambda c: F.coalesce(F.expr(f"try_cast(b.`{c}`.value AS BIGINT)"), F.lit(0)).alias(c)
+    return rows.select(*[F.col("b")[c]["value"].alias(c) for c in names], *[number(c) for c in numbers])
+
+
+def existing_terms(df: DataFrame, *columns: str) -> DataFrame:
+    """text: the distinct terms of several columns, trimmed, without empty ones."""
+    return df.select(F.explode(F.array(*[trimmed(F.col(c)) for c in columns])).alias("text")).where("text <> ''").distinct()
+
+
+def layers(manifest: list[dict], read: Callable[[dict], DataFrame]) -> DataFrame:
+    """Rows of the sources of a manifest that name a vertical layer (vertical_layer_id), with source and layer."""
+    frames = [read(m).withColumns({"source": F.lit(m["id"]), "layer": F.lit(int(m["vertical_layer_id"]))}) for m in manifest if m.get("vertical_layer_id") is not None]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def marked_block(df: DataFrame, begin: str, end: str) -> DataFrame:
     """Rows (file, ord, line) between the lines that hold begin and end."""
     w = Window.partitionBy("file").orderBy("ord")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -23,7 +23,7 @@ def index_rows(df: DataFrame) -> DataFrame:
 
 
 def json_fragments(df: DataFrame, path: str) -> None:
-    df.select(F.to_json(F.struct("source", "text")).alias("value")).write.mode("overwrite").text(path)
+    df.select("source", "text").write.mode("overwrite").json(path)
 
 
 def changed(old: DataFrame, new: DataFrame) -> bool:
@@ -43,6 +43,18 @@ def keep_order(previous: DataFrame, current: DataFrame, excluded: DataFrame, uns
     return out.withColumn("place", F.coalesce("place", F.lit((1 << 62) * 1)))
 
 
+def observed(df: DataFrame, write, **counters) -> dict:
+    """Counters (column aggregates) of a table, taken while ``write(df)`` runs: the table is read once."""
+    seen = Observation()
+    write(df.observe(seen, *[c.alias(name) for name, c in counters.items()]))
+    return seen.get
+
+
+def review_queue(rows: DataFrame) -> DataFrame:
+    """Rejected rows with their reason, for people to look at; nothing reads them back."""
+    return rows.where(F.col("reason") != "")
+
+
 def report(counters: dict, path: str) -> None:
     with open(path, "w", encoding="utf-8") as f:
         json.dump(counters, f, ensure_ascii=False, indent=2, sort_keys=True)
