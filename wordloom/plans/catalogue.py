@@ -181,7 +181,8 @@ def pairs(spark, d):
 
 @query(_BASE + ", t AS (SELECT words, evidence FROM s3 WHERE n >= 3) , k AS MATERIALIZED (SELECT words[1] || '|' || words[2] AS w, evidence FROM p), u AS MATERIALIZED (SELECT array_to_string(words, '|') AS path, words[1] || '|' || words[2] AS a, words[2] || '|' || words[3] AS b, evidence FROM t) SELECT path, (least(l.evidence, r.evidence) + greatest(0, u.evidence - 360))::INT AS evidence FROM u JOIN k l ON u.a = l.w JOIN k r ON u.b = r.w")
 def pair_backed_trigrams(spark, d):
-    return transitions.pair_backed(scored(spark, d, 3), pairs(spark, d)).select(F.concat_ws("|", "words").alias("path"), "evidence")
+    p = settled(pairs(spark, d))  # read for either half
+    return transitions.pair_backed(scored(spark, d, 3), p).select(F.concat_ws("|", "words").alias("path"), "evidence")
 
 
 @query(_BASE + """, t AS (SELECT words, evidence + 100 AS evidence FROM s3 WHERE n >= 3),
