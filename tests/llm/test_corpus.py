@@ -119,6 +119,18 @@ def test_phrases_are_longest_matches():
         assert language.parse(language.SuffixAutomaton(ref).arcs, 0, list(map(ord, text)))[0] == naive_phrases(ref, text)
 
 
+def test_texts_in_step_and_alone(monkeypatch):
+    r = random.Random(3)
+    word = lambda abc, n: "".join(r.choice(abc) for _ in range(n))
+    refs = [" " + word("abc ", 200), " " + word("bcdé ", 150)]
+    p = language.Parser([language.SuffixAutomaton(x).flat() for x in refs])
+    texts_ = [word("abcdéz ", r.randint(1, 60)) for _ in range(60)]
+    want = [[naive_phrases(x, t) for x in refs] for t in texts_]
+    assert p.counts(texts_).tolist() == want
+    monkeypatch.setattr(language, "LONG", 20)
+    assert p.counts(texts_).tolist() == want
+
+
 def test_language_against_brute_force(spark):
     """The whole prediction, from the formula: fewest phrases times the logarithm of the learned length."""
     r = random.Random(9)
