@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,6 +234,23 @@ def test_top_k_edges(spark):
         want = sorted(((i, sum(a * b for a, b in zip(w[q], w[i]))) for i in w if i != q), key=lambda x: (-x[1], x[0]))[:7]
         assert out[q] == want
     assert set(out) == {0, 20, 40}
+    assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
+    twice = df.where("vec_id < 3").unionByName(df.where("vec_id < 3"))
+    found = [tuple(r) for r in topk.top_k(twice.where("vec_id = 0").distinct(), twice, k=3).orderBy("rank").collect()]
+    assert [r[:2] for r in found] == [(0, 1), (0, 2), (0, 3)] and all(r[2] in (1, 2) for r in found)
+
+
+def test_top_k_large_weights():
+    r = np.random.default_rng(1)
+    w, ids = r.integers(-(1 << 60), 1 << 60, (50, 4)), np.arange(50)
+    q = np.array([[1, 0, -1, 0]])
+    exact_scores = sorted((sum(-int(a) * int(b) for a, b in zip(q[0], x)), i) for i, x in enumerate(w))[:3]
+    _, v, s = topk.Postings(ids, w).best(np.array([99]), q, 3)
+    assert sorted(zip((-s).tolist(), v.tolist())) == exact_scores
+    with pytest.raises(OverflowError):
+        topk.Postings(ids, w).best(np.array([99]), w[:1], 3)
+    with pytest.raises(OverflowError):
+        topk.weights(pa.array([[1e30]]), 64)
 
 
 def test_exact_edges_and_huge_texts(spark, edge):

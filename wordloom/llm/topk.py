@@ -6,7 +6,8 @@ rows of terms, taken in blocks too; every query block visits every candidate blo
 the block's queries scatters query weight times posting weight into a dense array of scores, a partial
 selection finds each query's best k, and the selections of all candidate blocks are merged for each query block.
 
-All scores are exact integers (64 bits; 32 where the weights' bounds allow).  Ties go to the smaller
+All scores are exact integers (64 bits; 32 where the weights' bounds allow; without a bound where 64 bits might not do).
+A weight of 2**62 or more, or a score among the best that 64 bits can't hold, is an error.  Ties go to the smaller
 id.  Rows whose vector is null, or has a null or non-finite component, take no part, neither do rows
 without an id; of rows that share an id each is a candidate, but never for a query with that id.
 """
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from wordloom.llm.common import blocks_for, read_table
 
 SCALE, K, EVERY = 64, 20, 20
+LIMIT = 1 << 62
 QUERY_ROWS, SPAN, BLOCKS, TABLE_BYTES = 32, 2048, 12, 4 << 20
 SCHEMA = "query_id long, rank int, vec_id long, score long"
 
@@ -37,7 +39,10 @@ def weights(column: pa.Array, scale: int) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     size = np.diff(np.asarray(column.offsets))
     out = np.zeros((len(size), int(size.max(initial=0))), dtype=np.int64)
-    flat = np.floor(scale * np.asarray(column.flatten(), dtype=float)).astype(np.int64)
+    flat = np.floor(scale * np.asarray(column.flatten(), dtype=float))
+    if np.abs(flat).max(initial=0) >= LIMIT:
+        raise OverflowError("a component is too large for a 64-bit weight")
+    flat = flat.astype(np.int64)
     row = np.repeat(np.arange(len(size)), size)
     out[row, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
     return out
@@ -62,7 +67,8 @@ class Postings:
     def scores(self, q: np.ndarray) -> np.ndarray:
         """Dense scores of query rows q against all candidates, filled in spans that stay in a core's cache."""
         n = len(self.ids)
-        kind = self.kind if self.bound * int(np.abs(q).max(initial=0)) < 1 << 31 else np.int64
+        most = self.bound * int(np.abs(q).max(initial=0))
+        kind = self.kind if most < 1 << 31 else np.int64 if most < 1 << 63 else object
         acc = np.zeros((len(q), n), dtype=kind)
         terms = []
         for t in range(min(q.shape[1], len(self.lists))):
