@@ -56,13 +56,15 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(r"(\p{L}+)"), F.lit(1))
 
 
-def most_common_char_count(c: Column) -> Column:
-    chars = F.array_distinct(F.split(c, ""))
-    return F.array_max(F.transform(chars, lambda x: F.length(c) - F.length(F.replace(c, x, F.lit("")))))
-
-
 def repetitive(c: Column, least: int = 8, percent: int = 55) -> Column:
-    return (F.length(c) >= least) & (most_common_char_count(c) * 100 >= F.length(c) * percent)
+    """Whether one character makes up ``percent`` (over 50) of a text of ``least`` characters or more.
+
+    A character with over half of the places has the middle one too once they are sorted: no other needs counting.
+    """
+    if percent <= 50:
+        raise ValueError("percent must be over 50")
+    middle = F.element_at(F.sort_array(F.array_remove(F.split(c, ""), "")), F.floor((F.length(c) / 2) + 1).cast("int"))
+    return F.when(F.length(c) >= least, (F.length(c) - F.length(F.replace(c, middle, F.lit("")))) * 100 >= F.length(c) * percent).otherwise(F.length(c) < 0)
 
 
 def log_score(n: Column) -> Column:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.bounded import read_bounded
+from wordloom.functions.bounded import read_bounded, settled
 
 FEWER = 1000.0
 MOST_WORDS = 2_000_000
@@ -97,18 +97,32 @@ def segmented(stretches: DataFrame, words: dict[str, int], chars: dict[str, int]
 
 
 def piece_counts(stretches: DataFrame, words: dict[str, int], chars=None, mode: str = "likeliest") -> DataFrame:
-    """piece, n over stretches (stretch, n): each distinct stretch is segmented once."""
-    once = stretches.groupBy("stretch").agg(F.sum("n").alias("n"))
-    cut = segmented(once, words, chars, mode).select("stretch", F.explode("pieces").alias("piece"))
-    return cut.join(once, "stretch").groupBy("piece").agg(F.sum("n").alias("n"))
+    """piece, n over stretches (stretch, n): each distinct stretch is segmented once, and a batch's pieces are added up before they leave it."""
+    return _piece_counts(stretches.groupBy("stretch").agg(F.sum("n").alias("n")), words, chars, mode)
+
+
+def _piece_counts(once: DataFrame, words: dict[str, int], chars: dict[str, int] | None, mode: str) -> DataFrame:
+    shared = once.sparkSession.sparkContext.broadcast((words, chars))
+
+    def run(batches):
+        lex = Lexicon(*shared.value)
+        cut = lex.greedy if mode == "greedy" else lex.likeliest
+        for batch in batches:
+            counts: dict[str, int] = {}
+            for stretch, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for piece in cut(stretch):
+                    counts[piece] = counts.get(piece, 0) + n
+            yield pa.record_batch([pa.array(counts, pa.string()), pa.array(counts.values(), pa.int64())], names=["piece", "n"])
+
+    return once.select("stretch", F.col("n").cast("long")).mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
 def reestimated(stretches: DataFrame, words: DataFrame, passes: int = 6, most_words: int = MOST_WORDS) -> DataFrame:
     """piece, n after so many passes: the longest-first cut starts, then counts of each pass weigh the next one's cut."""
     lexicon = {r.text: 1 for r in read_bounded(words.select("text").distinct(), most_words)}
-    counts = piece_counts(stretches, lexicon, mode="greedy")
+    once = settled(stretches.groupBy("stretch").agg(F.sum("n").alias("n")))  # read in every pass
+    counts = _piece_counts(once, lexicon, None, "greedy")
     for _ in range(passes - 1):
-        rows = read_bounded(counts, 2 * most_words)
-        got = {r.piece: r.n for r in rows}
-        counts = piece_counts(stretches, {w: got.get(w, 0) for w in lexicon}, {p: n for p, n in got.items() if len(p) == 1})
+        got = {r.piece: r.n for r in read_bounded(counts, 2 * most_words)}
+        counts = _piece_counts(once, {w: got.get(w, 0) for w in lexicon}, {p: n for p, n in got.items() if len(p) == 1}, "likeliest")
     return counts

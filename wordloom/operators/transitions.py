@@ -12,15 +12,18 @@ PAIR_SOURCES = 12
 
 
 def ngrams(sentences: DataFrame, n: int, keep: list[str], words: str = "words") -> DataFrame:
-    """keep, gram (array of n words) of every position of a row's word array."""
-    at = F.sequence(F.lit(1), F.size(words) - (n - 1))
-    return sentences.where(F.size(words) >= n).select(*keep, F.explode(F.transform(at, lambda i: F.slice(words, i, n))).alias("gram"))
+    """keep, gram (array of n words) of every position of a row's word array.
+
+    Short rows have no places: a filter by size would split the texts once more, where they are scanned.
+    """
+    at = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
+    return sentences.select(*keep, F.explode(F.transform(at, lambda i: F.slice(words, i, n))).alias("gram"))
 
 
 def evidence(grams: DataFrame, source: str, domain: str, most_n: int = 1_000_000, most_sources: int = 255) -> DataFrame:
-    """gram, n, sources, domains, counted in two steps: by source first, so a hot gram's rows shrink before they meet."""
+    """gram, n, sources, domains, counted in steps: by source first, so a hot gram's rows shrink before they meet; each source is then one row."""
     by_source = grams.groupBy("gram", source, domain).agg(F.count("*").alias("n"))
-    by_domain = by_source.groupBy("gram", domain).agg(F.sum("n").alias("n"), F.count_distinct(source).alias("s"))
+    by_domain = by_source.groupBy("gram", domain).agg(F.sum("n").alias("n"), F.count(source).alias("s"))
     out = by_domain.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("domains"))
     return out.select("gram", F.least("n", F.lit(most_n)).cast("long").alias("n"), F.least("s", F.lit(most_sources)).cast("long").alias("sources"), "domains")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wordloom.functions import keys
 from wordloom.functions.bounded import read_bounded, settled
 from wordloom.operators import admission, completion, counting, curation, evaluation, fragments, lexicon, patterns, segmentation, single_char, transitions, validation, variants
+from wordloom.sources.readers import columnar
 from wordloom.streaming import incremental
 
 QUERIES: dict = {}
@@ -28,7 +29,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    return columnar(spark, f"{d.rstrip('/')}/{name}.parquet")
 
 
 # --- shared views, in both languages -------------------------------------------------------------
