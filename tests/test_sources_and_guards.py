@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from wordloom.functions import syllables
+from wordloom.functions import keys, syllables
 from wordloom.operators import completion, lexicon, segmentation, transitions, validation
 from wordloom.sources import readers
 
@@ -104,3 +104,28 @@ def test_nbest_priors_against_brute_force(spark):
     cut = segmentation.segmented(stretches, words, mode="nearest").join(stretches, "stretch")
     out = {r.path: r.weight for r in transitions.nbest_priors(cut.select("stretch", F.col("n"), "score", "pieces")).collect()}
     assert out.keys() == want.keys() and all(math.isclose(out[k], want[k], rel_tol=1e-9) for k in want)
+
+
+def test_scans_of_few_files_are_dealt_and_others_are_not(spark, tmp_path):
+    rows = spark.range(0, 300_000, numPartitions=1).selectExpr("id", "sha2(cast(id AS string), 256) AS text")
+    rows.write.parquet(f"{tmp_path}/one")
+    rows.repartition(16).write.parquet(f"{tmp_path}/many")
+    rows.limit(5).write.parquet(f"{tmp_path}/small")
+    rows.limit(0).write.parquet(f"{tmp_path}/none")
+    plan = lambda name, **k: readers.columnar(spark, f"{tmp_path}/{name}", **k)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in plan("one")
+    assert all("Repartition" not in p for p in (plan("one", most=1 << 10), plan("many"), plan("small"), plan("none")))
+    assert sorted(r.id for r in readers.columnar(spark, f"{tmp_path}/one").select("id").collect()) == list(range(300_000))
+
+
+def test_repetition_is_that_of_a_plain_count(spark):
+    import random
+
+    rng = random.Random(3)
+    texts = ["", "a", "aaaaaaaa", "ab" * 4, "aaaaabbb", "bbbaaaaa", "aaaabbbb", "\U0001f600" * 9 + "ab", None] + ["".join(rng.choice("aaab c\U00020000") for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", keys.repetitive(F.col("t")).alias("r")).collect()
+    assert len(got) == len(texts)
+    for t, r in got:
+        assert r == (None if t is None else len(t) >= 8 and max(map(t.count, set(t))) * 100 >= 55 * len(t)), t
+    with pytest.raises(ValueError):
+        keys.repetitive(F.col("t"), percent=50)

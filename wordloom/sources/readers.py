@@ -18,15 +18,15 @@ HOLDOUTS = ("dev.jsonl", "test.jsonl", "validation.jsonl")
 SMALL_BYTES, SPLIT_BYTES = 1 << 20, 128 << 20
 
 
-def columnar(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table.  One of fewer files than the session has cores, and of less than ``SPLIT_BYTES`` a core, is dealt over them.
+def columnar(spark: SparkSession, path: str, most: int = SPLIT_BYTES) -> DataFrame:
+    """A Parquet table.  One of fewer files than the session has cores, and of less than ``most`` bytes a core, is dealt over them.
 
     Such a table is often one row group, which no more than one task can read; any other is read as it lies, without a shuffle.
     """
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if SMALL_BYTES <= size < cores * SPLIT_BYTES and len(df.inputFiles()) < cores:
+    if SMALL_BYTES <= size < cores * most and len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df
 
