@@ -20,12 +20,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.sources.readers import columnar
+
 SLICE_BYTES = 4 << 20
 U64 = np.uint64
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The table; a small one of few files is dealt over the cores (see columnar), all others are read as they lie."""
+    return columnar(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", most=8 << 20)
 
 
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
