@@ -536,3 +536,57 @@ def test_pipeline_runs_as_a_query(spark, stages):
 
     out = C.run(spark, SMALL)
     assert out.groupBy().agg(F.sum("length")).first()[0] == stages["packing"].groupBy().agg(F.sum("length")).first()[0]
+
+
+def _morse(n, a="a", b="b"):
+    """Two sequences that differ in every place and agree in every polynomial hash modulo 2**64 with an odd base."""
+    one = [a if bin(i).count("1") % 2 else b for i in range(n)]
+    return one, [b if x == a else a for x in one]
+
+
+@pytest.fixture(scope="module")
+def morse_rows():
+    """Unlike words of 1,024 letters, unlike passages of 1,024 words, and one true copy."""
+    one, two = ("".join(x) for x in _morse(1024))
+    p, q = (" ".join(x) for x in _morse(1024, "north", "southern-most"))
+    start = " ".join(f"w{i}" for i in range(12))
+    return [(1, one), (2, two), (3, f"{start} {one}"), (4, f"{start} {two}"), (5, p), (6, q), (7, one)]
+
+
+def test_passages_of_words_made_to_collide(spark, morse_rows):
+    df = spark.createDataFrame(morse_rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substrings.substring_dedup(df).collect()}
+    words = {i: t.split() for i, t in morse_rows}
+    expected = {}
+    for i, w in words.items():
+        seen = {tuple(words[j][k : k + 13]) for j in words if j < i for k in range(len(words[j]) - 12)}
+        gone = {k + x for k in range(len(w) - 12) if tuple(w[k : k + 13]) in seen for x in range(13)}
+        expected[i] = (len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone))
+    assert got == expected and got[4][1] == 0
+
+
+def test_sets_of_words_made_to_collide(spark, morse_rows):
+    df = spark.createDataFrame(morse_rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.similar(df).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 3, 5: 5, 6: got[6], 7: 1}  # 3 and 4 share eight of ten shingles
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in morse_rows}
+    assert got[6] == (5 if 100 * len(sets[5] & sets[6]) >= 80 * len(sets[5] | sets[6]) else 6)
+
+
+def test_stages_of_words_made_to_collide(spark, morse_rows):
+    import corpus_pipeline
+
+    df = spark.createDataFrame(morse_rows[:4], "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
+    for stage, n in ((corpus_pipeline.near_copy_stage, 2), (corpus_pipeline.passage_stage, 4)):
+        assert sorted((r.doc_id, r.text) for r in stage(spark, df.where(F.col("doc_id") <= n), "").collect()) == morse_rows[:n]
+
+
+def test_word_hashes():
+    from wordloom.llm.common import Words
+
+    texts = pa.array(["a a\x00 b ab abcdefgh abcdefghi abcdefgh\x00", None, "abcdefghi é ab", "x" * 100_000 + " " + "x" * 100_001])
+    w = Words(texts, seed=5)
+    words = [bytes(w.data[a:b]) for a, b in zip(w.start, w.end)]
+    for h in (w.hash, w.check):
+        assert len({(x, int(y)) for x, y in zip(words, h)}) == len(set(words)) == len(set(h.tolist()))
+    assert not set(w.hash.tolist()) & set(Words(texts, seed=6).hash.tolist())

@@ -18,6 +18,10 @@ without words has the empty set, linked with nothing).  Two texts link when 100
    of near copies of its leader costs one comparison each; the worst case, nothing linked to the leader, stays u * m / GROUP copies.
 5. The links found span the components; labels then spread along them to the smallest id.
 
+A word has two 64-bit hashes (see Words); a shingle, a sum of the first ones with factors that the run's seed draws; a class of equal sets, 128 bits of
+both.  Two documents of 10**4 shingles each count a shared shingle too many with a chance of 6 * 10**-12, which matters only if it lifts them over the
+threshold; unlike sets become one class with a chance of 2**-128.
+
 Null ids count as smaller than every other; rows that share an id are documents of their own.
 """
 
@@ -29,32 +33,29 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.llm.common import U64, Words, block_of, blocked, blocks_for, dealt, id_and_text, mix, read_table, saved, slices, unpacked, window_hash
+from wordloom.llm.common import U64, Words, block_of, blocked, blocks_for, dealt, id_and_text, mix, new_seed, read_table, saved, slices, unpacked, window_hash
 
 N, PERCENT, GROUP = 5, 80, 768
 TO = pa.list_(pa.struct([("leader", pa.int64()), ("i", pa.int32()), ("j", pa.int32())]))
 NO_ID = -(1 << 63)
 
 
-def shingles(words: Words, n: int = N) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text of a block."""
-    h, first = words.hash, words.first.tolist()
-    wide = window_hash(h, n, 5)
-    out = []
+def _shingle_hashes(hashes: np.ndarray, first: list[int], n: int, seed: int) -> list[np.ndarray]:
+    """The hashes of each text's shingles in their order; a shorter text is one shingle."""
+    wide, out = window_hash(hashes, n, seed + n), []
     for a, b in zip(first, first[1:]):
-        if b - a >= n:
-            out.append(np.unique(wide[a : b - n + 1]))
-        elif b > a:
-            out.append(mix(np.array([int(np.bitwise_xor.reduce(mix(h[a:b] + np.arange(1, b - a + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))))], dtype=U64)))
-        else:
-            out.append(np.zeros(0, dtype=U64))
+        out.append(wide[a : b - n + 1] if b - a >= n else window_hash(hashes[a:b], b - a, seed + b - a) if b > a else wide[:0])
     return out
 
 
-def set_hash(s: np.ndarray) -> tuple[int, int]:
-    with np.errstate(over="ignore"):
-        a, b = mix(s ^ U64(0x2545F4914F6CDD1D)).sum(dtype=U64), mix(s ^ U64(0x27BB2EE687B0B0FD)).sum(dtype=U64)
-    return int(a.astype(np.int64)), int(b.astype(np.int64))
+def shingles(words: Words, n: int = N, seed: int = 0) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text of a block."""
+    return [np.unique(s) for s in _shingle_hashes(words.hash, words.first.tolist(), n, seed)]
+
+
+def set_name(s: np.ndarray) -> int:
+    """64 bits of a set of hashes, in whatever order."""
+    return int(mix(s ^ U64(0x2545F4914F6CDD1D)).sum(dtype=U64).astype(np.int64))
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -225,32 +226,36 @@ def components(edges: DataFrame) -> DataFrame:
         label = new.select("id", "component")
 
 
-def _hashed(texts: pa.Array, n: int) -> list[pa.Array]:
-    """size, h1, h2 of each text's set."""
-    sets = shingles(Words(texts, lower=True), n)
-    hs = [set_hash(s) for s in sets]
-    return [pa.array([len(s) for s in sets], pa.int64()), *(pa.array([h[k] for h in hs], pa.int64()) for k in (0, 1))]
+def _hashed(texts: pa.Array, n: int, seed: int) -> list[pa.Array]:
+    """size, h1, h2 of each text's set; the halves come from the two hashes of its words, by independent sums."""
+    words = Words(texts, lower=True, seed=seed)
+    first = words.first.tolist()
+    rows = []
+    for one, two in zip(_shingle_hashes(words.hash, first, n, seed), _shingle_hashes(words.check, first, n, seed + 64)):
+        own, at = np.unique(one, return_index=True)
+        rows.append((len(own), set_name(own), set_name(two[at])))
+    return [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
 
 
-def with_class(docs: DataFrame, n: int = N) -> DataFrame:
+def with_class(docs: DataFrame, n: int = N, seed: int = 0) -> DataFrame:
     """docs (text and other columns) with size, h1, h2: the class of the text."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, limit=2 << 20):
                 texts = part.column(part.schema.get_field_index("text"))
-                yield pa.RecordBatch.from_arrays([*part.columns, *_hashed(texts, n)], names=[*part.schema.names, "size", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([*part.columns, *_hashed(texts, n, seed)], names=[*part.schema.names, "size", "h1", "h2"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in ("size", "h1", "h2"))]))
 
 
-def classes(docs: DataFrame, n: int = N) -> DataFrame:
+def classes(docs: DataFrame, n: int = N, seed: int = 0) -> DataFrame:
     """doc_id, b, size of its set, and two 64-bit hashes of the set, for docs (doc_id, text, b)."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, limit=2 << 20):
-                yield pa.record_batch([part.column(0), part.column(2), *_hashed(part.column(1), n)], names=["doc_id", "b", "size", "h1", "h2"])
+                yield pa.record_batch([part.column(0), part.column(2), *_hashed(part.column(1), n, seed)], names=["doc_id", "b", "size", "h1", "h2"])
 
     return docs.mapInArrow(run, "doc_id long, b int, size long, h1 long, h2 long")
 
@@ -258,7 +263,7 @@ def classes(docs: DataFrame, n: int = N) -> DataFrame:
 class _Block:
     """The sets of a block's documents that stand for a class, in a fixed order."""
 
-    def __init__(self, table: pa.Table, chosen: np.ndarray, hashes: np.ndarray, n: int, shards: int):
+    def __init__(self, table: pa.Table, chosen: np.ndarray, hashes: np.ndarray, n: int, shards: int, seed: int):
         docs = unpacked(table)
         ids = np.array([NO_ID if i is None else i for i in docs.column("doc_id").to_pylist()], dtype=np.int64)
         alone = np.ones(len(ids), dtype=bool)
@@ -268,11 +273,11 @@ class _Block:
         alone &= ids != NO_ID
         keep = ~alone | np.isin(ids, chosen)
         docs, ids, alone = docs.filter(pa.array(keep)), ids[keep], alone[keep]
-        sets = shingles(Words(docs.column("text"), lower=True), n) if len(ids) else []
+        sets = shingles(Words(docs.column("text"), lower=True, seed=seed), n, seed) if len(ids) else []
         if not alone.all():  # rows that share an id: one for each class among them that is asked for
             names, pick = dict(zip(hashes.tolist(), chosen.tolist())), np.ones(len(ids), dtype=bool)
             for k in np.flatnonzero(~alone).tolist():
-                name = names.pop(set_hash(sets[k])[0], None)
+                name = names.pop(set_name(sets[k]), None)
                 pick[k] = name is not None
                 ids[k] = ids[k] if name is None else name
             ids, sets = ids[pick], [s for s, p in zip(sets, pick) if p]
@@ -295,20 +300,20 @@ class _Block:
 
 def similar(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None, group: int = GROUP) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
-    own, named = grouped(docs, n, percent, id_col, text_col, blocks, group)
+    own, named = grouped(docs, n, percent, id_col, text_col, blocks, group, new_seed())
     out = own.join(named.drop("c"), ["size", "h1", "h2"], "left")
     back = lambda c: F.when(c == NO_ID, F.lit(None)).otherwise(c).cast("long")
     return out.select(back(F.col("doc_id")).alias("doc_id"), F.col("size").alias("n_shingles"), back(F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
-def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
+def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None, group: int = GROUP, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """The class (size, h1, h2) of every row (doc_id: NO_ID for null), and component_id of every class that has words; c tells components of one id apart."""
     blocks = blocks or max(8, blocks_for(docs, 3 << 20))
     docs = id_and_text(docs, id_col, text_col)
     shards = max(8, blocks)
     order = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
 
-    own = saved(classes(docs.withColumn("b", block_of(blocks)), n).withColumn("doc_id", order))
+    own = saved(classes(docs.withColumn("b", block_of(blocks)), n, seed).withColumn("doc_id", order))
     reps = own.where("size > 0").groupBy("size", "h1", "h2").agg(F.min(F.struct("doc_id", "b")).alias("r")).select("size", "h1", "h2", "r.*")
     shared_ids = F.count("*").over(Window.partitionBy("doc_id", F.when(F.col("doc_id") == NO_ID, F.col("h1")))) > 1
     hashed = F.when(F.col("h1") < 0, F.col("h1")).otherwise(F.col("h1").bitwiseOR(F.lit(NO_ID)))
@@ -323,7 +328,7 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
     def rests(key, table, told):
         rows = []
         if table.num_rows:
-            block = _Block(table, *ids_of(told), n, shards)
+            block = _Block(table, *ids_of(told), n, shards, seed)
             rows = [(k, block.flat[at].astype("<u4").tobytes()) for k, at in block.shards.items()]
         return pa.table([pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["b", "shard", "rest"])
 
@@ -343,7 +348,7 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
     def opened(table, told):
         rep = told.filter(pc_valid(told, "rep"))
         steps = told.filter(pc_valid(told, "steps"))
-        block = _Block(table, *ids_of(rep), n, shards)
+        block = _Block(table, *ids_of(rep), n, shards, seed)
         return block.ordered(zip(steps.column("shard").to_pylist(), steps.column("steps").to_pylist()))
 
     def first(key, table, told):
@@ -371,7 +376,7 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
         if not (table.num_rows and told.num_rows):
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.binary()), pa.array([], TO)], names=["id", "set", "to"])
         place = {i: k for k, i in enumerate(told.column("id").to_pylist())}
-        block = _Block(table, *ids_of(told, "id"), n, shards)
+        block = _Block(table, *ids_of(told, "id"), n, shards, seed)
         to = told.column("to").combine_chunks().take(pa.array([place[i] for i in block.ids.tolist()], pa.int64())).cast(TO)
         return pa.table([pa.array(block.ids), pa.array([s.tobytes() for s in block.sets], pa.binary()), to], names=["id", "set", "to"])
 

@@ -2,7 +2,7 @@
 
 Texts are compressed by the same rules everywhere.  Each round first names maximal runs of one symbol, then
 pairs: a symbol's name puts it on the left or the right side, and a left one followed by a right one becomes one symbol.
-A name is 64 bits of what it stands for, so names are global without being handed out: equal passages have
+A name is 128 bits of what it stands for, so names are global without being handed out: equal passages have
 equal symbols inside, in whatever task they are named.  Near its ends, a passage's symbols may depend on
 its surroundings; each symbol therefore carries the range of words that its existence depends on.
 
@@ -12,14 +12,15 @@ its surroundings; each symbol therefore carries the range of words that its exis
    than once anywhere, and whether a smaller id has the long one.
 2. A window of ``width`` words can only repeat if each small symbol that lies, with all that it depends on, inside it
    is shared.  A window inside a long symbol that a smaller id has does repeat.  All others that may
-   are asked about: of equal ones in a block that with the smallest id, for all of them, is sent as 64 bits to a
-   shard that other 64 bits choose, which answers whether a smaller id has the same window.
+   are asked about: of equal ones in a block that with the smallest id, for all of them, is sent as 128 bits to a
+   shard, which answers whether a smaller id has the same window.
    Windows that a long symbol settles need no asking: the smallest id that has the window is never settled and asks.
 3. Words covered by repeated windows go.  Windows are judged on the input, not on what is left.
 
-Equality is judged by hash: two unlike windows are taken for equal only if they agree in 64 bits and, independently, in the
-bits that choose the shard; there are as many shards as blocks, so those bits grow with the table.  For 10**10 different
-windows over 4,096 shards that is 0.0007 expected false matches.
+Equality is judged by two independent 64-bit hashes.  A word of up to eight bytes is a number, which bijections mix; a longer one has a
+BLAKE2b digest.  Windows have two sums of the words' two hashes, long symbols two names; shards compare all 128 bits.  All hashes
+depend on a seed that each run draws, so no text can be made to collide with another.  For 10**12 different windows the
+expected number of false matches is below 10**-14.
 
 Runs longer than a window hold no symbol inside it, so the windows within them always pass the first test of step 2.
 All that is sent is packed arrays, one for each block and shard that occurs in it: a passage that every document
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from wordloom.llm.common import U64, Words, blocked, blocks_for, dealt, mix, read_table, saved, unpacked, window_hash
+from wordloom.llm.common import U64, Words, blocked, blocks_for, dealt, mix, new_seed, read_table, saved, unpacked, window_hash
 
 WIDTH, LOCAL, HIGH, LONG = 13, 1, (11, 13), 20
 NO_ID = -(1 << 63)
@@ -50,7 +51,7 @@ class Symbols:
 
     def __init__(self, words: Words):
         n = len(words.hash)
-        self.name = words.hash.copy()
+        self.name, self.check = words.hash.copy(), words.check.copy()
         self.start = np.arange(n)
         self.end = self.start + 1
         self.low, self.high = self.start.copy(), self.end.copy()
@@ -73,11 +74,11 @@ class Symbols:
         self.low = np.where(left, np.minimum(self.low, low), self.low)
         self.high = np.where(right, np.maximum(self.high, high), self.high)
 
-    def _joined(self, begins: np.ndarray, name: np.ndarray) -> None:
+    def _joined(self, begins: np.ndarray, name: np.ndarray, check: np.ndarray) -> None:
         """Symbols between one begin and the next become one."""
         at = np.flatnonzero(begins)
         stop = np.append(at[1:], len(begins)) - 1
-        self.name = name
+        self.name, self.check = name, check
         self.start, self.end = self.start[at], self.end[stop]
         self.low = np.minimum.reduceat(self.low, at)
         self.high = np.maximum.reduceat(self.high, at)
@@ -86,15 +87,17 @@ class Symbols:
     def _runs(self, r: int) -> None:
         if not len(self.name):
             return
-        begins = self._edges() | np.concatenate(([True], self.name[1:] != self.name[:-1]))
+        begins = self._edges() | np.concatenate(([True], (self.name[1:] != self.name[:-1]) | (self.check[1:] != self.check[:-1])))
         ends = np.concatenate((begins[1:], [True]))
         self._seen(begins, ends)
         at = np.flatnonzero(begins)
         length = np.diff(np.append(at, len(begins)))
-        name = self.name[at]
         long = length > 1
-        name[long] = mix(name[long] + length[long].astype(U64) * U64(0xA24BAED4963EE407) + U64(2 * r + 1))
-        self._joined(begins, name)
+        names = []
+        for name in (self.name[at], self.check[at]):
+            name[long] = mix(name[long] + length[long].astype(U64) * U64(0xA24BAED4963EE407) + U64(2 * r + 1))
+            names.append(name)
+        self._joined(begins, *names)
 
     def _pairs(self, r: int) -> None:
         if not len(self.name):
@@ -105,10 +108,13 @@ class Symbols:
         head = np.concatenate((second[1:], [False]))
         self._seen(~left & ~second, left & ~head)
         begins = ~second
-        name = self.name.copy()
         at = np.flatnonzero(head)
-        name[at] = mix(self.name[at] * U64(0xD1342543DE82EF95) + mix(self.name[at + 1] + U64(0xAF251AF3B0F025B5)) + U64(2 * r))
-        self._joined(begins, name[begins])
+        names = []
+        for old in (self.name, self.check):
+            name = old.copy()
+            name[at] = mix(old[at] * U64(0xD1342543DE82EF95) + mix(old[at + 1] + U64(0xAF251AF3B0F025B5)) + U64(2 * r))
+            names.append(name[begins])
+        self._joined(begins, *names)
 
 
 def _bits(x: np.ndarray) -> bytes:
@@ -137,25 +143,35 @@ def _collected(answers, shards: dict[int, np.ndarray], n: int) -> np.ndarray:
     return out
 
 
+def _alike(hashes: np.ndarray, checks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal ones (both hashes) side by side, the smallest id first, and where new ones begin in it."""
+    order = np.lexsort((ids, hashes))
+    h, c = hashes[order], checks[order]
+    same = h[1:] == h[:-1]
+    if (same & (c[1:] != c[:-1])).any():
+        order = np.lexsort((ids, checks, hashes))
+        h, c = hashes[order], checks[order]
+        same = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
+    return order, np.concatenate((np.ones(min(1, len(h)), dtype=bool), ~same))
+
+
 class _Asked:
-    """Hashes with the ids of their owners; of equal ones that with the smallest id stands for all when shards are asked."""
+    """128-bit hashes with the ids of their owners; of equal ones that with the smallest id stands for all when shards are asked."""
 
-    def __init__(self, hashes: np.ndarray, places: np.ndarray, ids: np.ndarray, shards: int):
-        """places: independent hashes that choose the shard."""
-        order = np.lexsort((ids, hashes))
-        new = np.concatenate((np.ones(min(1, len(hashes)), dtype=bool), hashes[order[1:]] != hashes[order[:-1]]))
+    def __init__(self, hashes: np.ndarray, checks: np.ndarray, ids: np.ndarray, shards: int):
+        order, new = _alike(hashes, checks, ids)
         self.stands = np.empty(len(hashes), dtype=np.int64)
         self.stands[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
         heads = np.sort(order[new])
-        self.ids, self.heads, self.hashes = ids, heads, hashes[heads]
-        self.shards = dealt(places[heads] % U64(shards))
+        self.ids, self.heads, self.hashes = ids, heads, np.stack((hashes[heads], checks[heads]))
+        self.shards = dealt((self.hashes[0] >> U64(20)) % U64(shards))
 
     def packets(self) -> dict[int, tuple[bytes, bytes]]:
-        """For each shard the owners and the hashes."""
+        """For each shard the owners and the hashes, all first halves before all second ones."""
         ids, out = self.ids[self.heads], {}
         for s, k in self.shards.items():
             begins = np.flatnonzero(np.concatenate(([True], ids[k[1:]] != ids[k[:-1]])))
-            out[s] = _owners(ids[k[begins]], np.diff(np.append(begins, len(k)))), self.hashes[k].tobytes()
+            out[s] = _owners(ids[k[begins]], np.diff(np.append(begins, len(k)))), self.hashes[:, k].tobytes()
         return out
 
     def earlier(self, answers) -> np.ndarray:
@@ -165,18 +181,18 @@ class _Asked:
         return told[self.stands] | (self.ids[self.stands] < self.ids)
 
 
-def _earlier(hashes: list[np.ndarray], ids: list[np.ndarray]) -> list[bytes]:
-    """For each packet the flags of its hashes: whether a smaller id has it too."""
-    h, d = np.concatenate(hashes), np.concatenate(ids)
+def _earlier(packets: list[bytes], ids: list[np.ndarray]) -> list[bytes]:
+    """For each packet of hashes its flags: whether a smaller id has it too."""
+    parts = [np.frombuffer(x, "<u8").reshape(2, -1) for x in packets]
+    (h, c), d = np.concatenate(parts, axis=1), np.concatenate(ids)
     if not len(h):
-        return [b""] * len(hashes)
-    order = np.argsort(h, kind="stable")
-    hs, ds = h[order], d[order]
-    first = np.flatnonzero(np.concatenate(([True], hs[1:] != hs[:-1])))
-    least = np.repeat(np.minimum.reduceat(ds, first), np.diff(np.append(first, len(hs))))
+        return [b""] * len(parts)
+    order, new = _alike(h, c, d)
+    first = np.flatnonzero(new)
+    least = np.repeat(d[order][first], np.diff(np.append(first, len(h))))
     flag = np.empty(len(h), dtype=bool)
-    flag[order] = least < ds
-    return _flags(flag, hashes)
+    flag[order] = least < d[order]
+    return _flags(flag, [p[0] for p in parts])
 
 
 def _recurs(hashes: list[np.ndarray]) -> list[bytes]:
@@ -197,14 +213,14 @@ def _flags(flag: np.ndarray, parts: list[np.ndarray]) -> list[bytes]:
 class _Block:
     """A block's words, symbols and windows; the same in every step."""
 
-    def __init__(self, table: pa.Table, shards: int, width: int):
-        self.docs, self.shards, self.width = unpacked(table), shards, width
-        self.words = Words(self.docs.column("text"))
+    def __init__(self, table: pa.Table, shards: int, width: int, seed: int):
+        self.docs, self.shards, self.width, self.seed = unpacked(table), shards, width, seed
+        self.words = Words(self.docs.column("text"), seed=seed)
         ids = np.array([NO_ID if i is None else i for i in self.docs.column("doc_id").to_pylist()], dtype="<i8")
         self.ids = np.repeat(ids, np.diff(self.words.first))  # of each word
         self.prefix, self.back = self.words.word_prefixes()
         s = Symbols(self.words)
-        starts, ends, names, places = [], [], [], []
+        starts, ends, names, checks = [], [], [], []
         for r in range(max(LOCAL, *HIGH) + 1):
             s.round(r)
             if r == LOCAL:
@@ -216,13 +232,13 @@ class _Block:
                 starts.append(s.start[k])
                 ends.append(s.end[k])
                 names.append(s.name[k])
-                places.append(mix(self._content(s.start[k], s.end[k])))
+                checks.append(s.check[k])
         self.start, self.end = np.concatenate(starts), np.concatenate(ends)
-        self.long = _Asked(np.concatenate(names), np.concatenate(places), self.ids[self.start], shards)
+        self.long = _Asked(np.concatenate(names), np.concatenate(checks), self.ids[self.start], shards)
         self.small = dealt(mix(self.names ^ U64(0x5851F42D4C957F2D)) % U64(shards))
 
     def _content(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """A hash of the words from a to b."""
+        """A hash of the words from a to b, for the filter of small symbols only."""
         return (self.prefix[b] - self.prefix[a]) * self.back[a]
 
     def windows(self, small, long) -> tuple[np.ndarray, np.ndarray, _Asked]:
@@ -240,7 +256,8 @@ class _Block:
         np.add.at(sure, self.end[found] - w + 1, -1)
         sure = np.cumsum(sure[:n]) > 0
         at = np.flatnonzero((np.cumsum(spoilt[:n]) == 0) & (np.arange(n) <= last) & ~sure)
-        return np.flatnonzero(sure), at, _Asked(window_hash(self.words.hash, w, 11)[at], window_hash(self.words.hash, w, 12)[at], self.ids[at], self.shards)
+        both = (window_hash(h, w, self.seed + k)[at] for k, h in ((1, self.words.hash), (2, self.words.check)))
+        return np.flatnonzero(sure), at, _Asked(*both, self.ids[at], self.shards)
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None = None, blocks: int | None = None, untouched: bool = False) -> DataFrame:
@@ -251,7 +268,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
     carry = list(carry or [])
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
     blocks = blocks or max(8, blocks_for(docs, 3 << 20))
-    shards = max(8, blocks)
+    shards, seed = max(8, blocks), new_seed()
     held = blocked(base, blocks, tuple(carry))
     by_block = held.groupBy("b")
 
@@ -261,15 +278,15 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
     binary = pa.binary()
 
     def symbols(key, table):
-        block = _Block(table, shards, width)
+        block = _Block(table, shards, width, seed)
         long = block.long.packets()
         rows = [(key[0].as_py(), s, block.names[block.small[s]].tobytes() if s in block.small else b"", *long.get(s, (_owners(np.zeros(0, "<i8"), np.zeros(0, "<i8")), b""))) for s in sorted({*block.small, *long})]
         kinds = (("b", pa.int32()), ("shard", pa.int32()), ("names", binary), ("owners", binary), ("long", binary))
         return pa.table([pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(kinds)], names=[k for k, _ in kinds])
 
     def shared(key, table):
-        small, long = ([np.frombuffer(x.as_py(), "<u8") for x in table.column(c)] for c in ("names", "long"))
-        bits = _earlier(long, [_owned(x.as_py()) for x in table.column("owners")])
+        small = [np.frombuffer(x.as_py(), "<u8") for x in table.column("names")]
+        bits = _earlier([x.as_py() for x in table.column("long")], [_owned(x.as_py()) for x in table.column("owners")])
         return pa.table([table.column("b"), table.column("shard"), pa.array(_recurs(small), binary), pa.array(bits, binary)], names=["b", "shard", "bits", "long"])
 
     names = by_block.applyInArrow(symbols, "b int, shard int, names binary, owners binary, long binary")
@@ -277,7 +294,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
 
     def opened(table, told):
         """The block, and its windows by the answers of the first step."""
-        block = _Block(table, shards, width)
+        block = _Block(table, shards, width, seed)
         first = [(s, x, y) for s, x, y, k in zip(*(told.column(c).to_pylist() for c in ("shard", "bits", "long", "step"))) if k == 1]
         return block, *block.windows([(s, x) for s, x, _ in first if s in block.small], [(s, y) for s, _, y in first if s in block.long.shards])
 
@@ -288,7 +305,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
         return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), *(pa.array([r[c] for r in rows], binary) for c in (2, 3))], names=["b", "shard", "owners", "hashes"])
 
     def earlier(key, table):
-        bits = _earlier([np.frombuffer(x.as_py(), "<u8") for x in table.column("hashes")], [_owned(x.as_py()) for x in table.column("owners")])
+        bits = _earlier([x.as_py() for x in table.column("hashes")], [_owned(x.as_py()) for x in table.column("owners")])
         return pa.table([table.column("b"), table.column("shard"), pa.array(bits, binary)], names=["b", "shard", "bits"])
 
     told = answers.withColumn("step", F.lit(1))
