@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import jaccard, lines, packing, quality, substrings
-from wordloom.llm.common import id_and_text, read_table, saved, scratch
+from wordloom.llm.common import id_and_text, new_seed, read_table, saved, scratch
 
 #: Quality is learned, not computed: SQL can't express the rows of run().
 ORACLE_SQL = None
@@ -42,7 +42,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays, of those that share it the first by text; rows without an id all do, and texts without words."""
-    own, named = jaccard.grouped(docs)
+    seed = new_seed()
+    own, named = jaccard.grouped(docs, seed=seed)
     found = own.join(named, ["size", "h1", "h2"], "left").where(F.col("doc_id") != jaccard.NO_ID)
     least = F.col("doc_id") == F.coalesce("component_id", "doc_id")
     stays = saved(found.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n"), F.max(least).alias("least")).where("least").drop("least"))
@@ -53,7 +54,7 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     if shared.isEmpty():
         return out
     whole = docs.join(shared, docs["doc_id"] == shared["kept_id"], "left_semi").select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = jaccard.with_class(whole).join(named, ["size", "h1", "h2"], "left")
+    rows = jaccard.with_class(whole, seed=seed).join(named, ["size", "h1", "h2"], "left")
     first = rows.where(F.col("row.doc_id") == F.col("component_id")).groupBy("c").agg(F.min_by("row", "text").alias("row"))
     return out.unionByName(first.select("row.*")).unionByName(rows.where("size = 0").select("row.*"))
 
