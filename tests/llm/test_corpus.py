@@ -584,9 +584,10 @@ def test_stages_of_words_made_to_collide(spark, morse_rows):
 def test_word_hashes():
     from wordloom.llm.common import Words
 
-    texts = pa.array(["a a\x00 b ab abcdefgh abcdefghi abcdefgh\x00", None, "abcdefghi é ab", "x" * 100_000 + " " + "x" * 100_001])
+    texts = pa.array(["a a\x00 b ab abcdefgh abcdefghi abcdefgh\x00 abcdefghijklmnop abcdefghijklmnopq abcdefghijklmno", None, "abcdefghi é ab", "x" * 100_000 + " " + "x" * 100_001])
     w = Words(texts, seed=5)
     words = [bytes(w.data[a:b]) for a, b in zip(w.start, w.end)]
-    for h in (w.hash, w.check):
-        assert len({(x, int(y)) for x, y in zip(words, h)}) == len(set(words)) == len(set(h.tolist()))
+    for h in (w.hash, w.check, zip(w.hash.tolist(), w.check.tolist())):
+        h = list(h)
+        assert len(set(zip(words, h))) == len(set(words)) == len(set(h))
     assert not set(w.hash.tolist()) & set(Words(texts, seed=6).hash.tolist())

@@ -112,8 +112,8 @@ class Words:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a block of texts.
 
     ``start``/``end`` are byte positions in ``data``; ``first[d]:first[d + 1]`` are the words of text d.
-    ``hash`` and ``check`` have 64 bits each for every word.  Words of up to eight bytes are numbers, mixed by two bijections: unlike
-    ones differ in both.  Longer ones have the halves of a 128-bit BLAKE2b digest.  Both depend on the seed.
+    ``hash`` and ``check`` have 64 bits each for every word.  Words of up to sixteen bytes are numbers of 128 bits, mixed by a bijection:
+    unlike ones are unlike.  Longer ones have a BLAKE2b digest of 128 bits.  Both depend on the seed.
     """
 
     def __init__(self, column: pa.Array, lower: bool = False, hashed: bool = True, seed: int = 0):
@@ -143,11 +143,14 @@ class Words:
 
     def _hashes(self, seed: int) -> tuple[np.ndarray, np.ndarray]:
         size = self.end - self.start
-        padded = np.concatenate((self.data, np.full(8, 0xFF, dtype=np.uint8)))
-        lane = np.ndarray(len(self.data) + 1, dtype="<u8", buffer=padded, strides=(1,))[self.start] | _PAST[np.minimum(size, 8)]
+        padded = np.concatenate((self.data, np.full(16, 0xFF, dtype=np.uint8)))
+        lanes = np.ndarray(len(self.data) + 9, dtype="<u8", buffer=padded, strides=(1,))
         keys = np.random.default_rng(seed).integers(1, 1 << 62, 4).astype(U64)
-        one, two = mix(mix(lane ^ keys[0]) + keys[1]), mix(mix(lane ^ keys[2]) + keys[3])
-        long = np.flatnonzero(size > 8)
+        one, two = lanes[self.start] | _PAST[np.minimum(size, 8)], lanes[self.start + 8] | _PAST[np.clip(size - 8, 0, 8)]
+        for k in (0, 2):
+            two ^= mix(one + keys[k])
+            one ^= mix(two + keys[k + 1])
+        long = np.flatnonzero(size > 16)
         if len(long):
             view, key = memoryview(padded), seed.to_bytes(8, "little")
             memo = Memo(lambda w: hashlib.blake2b(w, digest_size=16, key=key).digest(), 1 << 16)

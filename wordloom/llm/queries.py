@@ -8,6 +8,7 @@ from wordloom.llm.jaccard import op9_ngram_jaccard_join
 from wordloom.llm.language import op2_language_id
 from wordloom.llm.lines import op5_line_dedup
 from wordloom.llm.packing import op10_packing
+from wordloom.llm.pii import op11_personal_data
 from wordloom.llm.quality import op1_quality_classifier
 from wordloom.llm.runs import op12_periodic_runs
 from wordloom.llm.spelling import op13_spelling_variants
@@ -17,7 +18,7 @@ from wordloom.llm.topk import op6_top_k
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_classifier, op2_language_id, op3_token_counts, op4_bpe_codec, op5_line_dedup, op6_top_k, op7_exact_dedup, op8_substring_dedup, op9_ngram_jaccard_join, op10_packing, op12_periodic_runs, op13_spelling_variants)
+    for f in (op1_quality_classifier, op2_language_id, op3_token_counts, op4_bpe_codec, op5_line_dedup, op6_top_k, op7_exact_dedup, op8_substring_dedup, op9_ngram_jaccard_join, op10_packing, op11_personal_data, op12_periodic_runs, op13_spelling_variants)
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -17,7 +17,7 @@ its surroundings; each symbol therefore carries the range of words that its exis
    Windows that a long symbol settles need no asking: the smallest id that has the window is never settled and asks.
 3. Words covered by repeated windows go.  Windows are judged on the input, not on what is left.
 
-Equality is judged by two independent 64-bit hashes.  A word of up to eight bytes is a number, which bijections mix; a longer one has a
+Equality is judged by two independent 64-bit hashes.  A word of up to sixteen bytes is a number, which a bijection mixes; a longer one has a
 BLAKE2b digest.  Windows have two sums of the words' two hashes, long symbols two names; shards compare all 128 bits.  All hashes
 depend on a seed that each run draws, so no text can be made to collide with another.  For 10**12 different windows the
 expected number of false matches is below 10**-14.
