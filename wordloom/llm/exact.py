@@ -3,7 +3,7 @@
 A text is normalised (A-Z lower-cased, null as empty) and cut into chunks of ``CHUNK`` bytes; a chunk's hash is
 its polynomial in two bases modulo two primes.  Hashes of neighbouring chunks combine by
 length-shifted arithmetic, hash(xy) = hash(x) * base**len(y) + hash(y), so the chunks of a huge text (over ``HUGE``
-characters) are hashed by many tasks and combined afterwards, and any other text by one task.
+characters), which is cut once by bytes, are hashed by many tasks and combined afterwards, and any other text by one task.
 
 Rows with the same fingerprint and length form a group.  Only texts that may be of a group move: a bitmap of the groups'
 fingerprints (at most ``BITMAP_BITS`` bits) drops the others where they are read.  Equality is then shown chunk by chunk: a group's texts
@@ -66,6 +66,24 @@ def _packed(h: tuple[int, int]) -> int:
     return h[0] << 31 | h[1]
 
 
+def _pieces(docs: DataFrame, schema: str, size: int = CHUNK, at_once: int = 64) -> DataFrame:
+    """The chunks of normalised texts: docs' columns but the last, text, then sha, k, chunk; each text is cut once, by bytes."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            for i in range(batch.num_rows):
+                raw = (texts[i].as_py() or "").encode().lower()
+                sha = hashlib.sha256(raw).hexdigest()
+                for k in range(0, max(1, len(raw)), size * at_once):
+                    parts = [raw[j : j + size] for j in range(k, min(max(1, len(raw)), k + size * at_once), size)]
+                    own = [batch.column(c).take(pa.array([i] * len(parts))) for c in range(batch.num_columns - 1)]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array([sha] * len(parts)), pa.array(range(k // size, k // size + len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def fingerprints(docs: DataFrame, huge: int = HUGE) -> DataFrame:
     """doc_id, fp, n_bytes, text_sha256 of the normalised texts of docs (doc_id, text)."""
 
@@ -78,7 +96,7 @@ def fingerprints(docs: DataFrame, huge: int = HUGE) -> DataFrame:
 
     def chunks(batches):
         for batch in batches:
-            raw = [t.encode().lower() for t in batch.column(3).to_pylist()]
+            raw = batch.column(3).to_pylist()
             hs = [fingerprint(r) for r in raw]
             cols = [pa.array([h[k] for h in hs], pa.int64()) for k in (0, 1)] + [pa.array([len(r) for r in raw], pa.int64())]
             yield pa.record_batch([batch.column(0), batch.column(1), batch.column(2), *cols], names=["doc_id", "sha", "k", "h1", "h2", "n"])
@@ -88,19 +106,17 @@ def fingerprints(docs: DataFrame, huge: int = HUGE) -> DataFrame:
         h, size = (0, 0), 0
         for _, a, b, n in rows:
             h, size = combine(h, (a, b), n), size + n
-        return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([_packed(h)], pa.int64()), pa.array([size], pa.int64()), pa.array([key[1].as_py()])], names=["doc_id", "fp", "n_bytes", "text_sha256"])
+        return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([_packed(h)], pa.int64()), pa.array([size], pa.int64()), pa.array([key[1].as_py()]), pa.array(table.column("copies").to_pylist()[:1], pa.int64())], names=["doc_id", "fp", "n_bytes", "text_sha256", "copies"])
 
     schema = "doc_id long, fp long, n_bytes long, text_sha256 string"
     big = F.coalesce(F.length("text"), F.lit(0)) > huge
     small = docs.where(~big).mapInArrow(plain, schema)
-    large = docs.where(big).withColumn("sha", F.sha2(F.translate("text", UPPER, LOWER).cast("binary"), 256))
-    step = CHUNK // 4
-    large = large.select("doc_id", "sha", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / step)), lambda k: F.substring("text", k * step + 1, F.lit(step)))).alias("k", "chunk"))
+    large = _pieces(docs.where(big).select("doc_id", "text"), "doc_id long, sha string, k int, chunk binary")
     large = large.repartition(F.col("doc_id"), F.col("k")).mapInArrow(chunks, "doc_id long, sha string, k int, h1 long, h2 long, n long")
     # a repeated row gives each of its chunks twice: one copy is combined, and the groups count rows of docs again
-    large = large.dropDuplicates(["doc_id", "sha", "k"]).groupBy("doc_id", "sha").applyInArrow(joined, schema)
-    copies = docs.where(big).groupBy("doc_id", F.sha2(F.translate("text", UPPER, LOWER).cast("binary"), 256).alias("text_sha256")).agg(F.count("*").alias("copies"))
-    large = large.join(copies, large.doc_id.eqNullSafe(copies.doc_id) & (large.text_sha256 == copies.text_sha256)).select(large.doc_id, "fp", "n_bytes", large.text_sha256, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+    large = large.groupBy("doc_id", "sha", "k").agg(F.min("h1").alias("h1"), F.min("h2").alias("h2"), F.min("n").alias("n"), F.count("*").alias("copies"))
+    large = large.groupBy("doc_id", "sha").applyInArrow(joined, f"{schema}, copies long")
+    large = large.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copy", "copies")
     return small.unionByName(large)
 
 
@@ -151,9 +167,7 @@ def unlike_groups(docs: DataFrame, found: DataFrame, groups: DataFrame, huge: in
     # the chunks of a huge text find their group by the text's digest, which the JVM computes
     large = docs.where(big).select(F.sha2(F.translate("text", UPPER, LOWER).cast("binary"), 256).alias("text_sha256"), "text")
     named = found.select("text_sha256", "fp", "n_bytes").where(F.col("n_bytes") > huge).distinct().join(groups.select("fp", "n_bytes"), ["fp", "n_bytes"])
-    step = CHUNK // 4
-    parts = F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / step)), lambda k: F.substring("text", k * step + 1, F.lit(step)))).alias("k", "chunk")
-    large = large.join(named, "text_sha256").select("fp", "n_bytes", parts).withColumn("chunk", F.translate("chunk", UPPER, LOWER).cast("binary"))
+    large = _pieces(large.join(named, "text_sha256").select("fp", "n_bytes", "text"), "fp long, n_bytes long, sha string, k int, chunk binary").drop("sha")
     # huge texts and others of one group don't meet place by place: they differ in kind, and count as unlike
     both = plain.withColumn("huge", F.lit(False)).unionByName(large.withColumn("huge", F.lit(True)))
     same = both.groupBy("fp", "n_bytes", "huge", "k").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
