@@ -7,11 +7,11 @@ the language's text length, is the cross-parsing entropy; the language that need
 
 A text is read as its words (runs of letters and marks, lower-cased) with one space before, between and after them; digits and
 signs tell nothing and are left out.  Phrases cross the edges of words.  Many texts are parsed in step, against all
-languages at once, through one table of transitions; it takes about 15 MB a language in each worker (54 MB were measured for four).
+languages at once, through one double array of transitions, whose size follows the arcs and not the alphabets: see README for figures.
 
 The automata are fitted on a bounded sample: at most ``chars`` characters of whole documents for each
-language, drawn by a hash of the id until the characters are full or the documents end.  Every value of
-lang with a letter in its sample is learned; over 1,000 of them is an error.  Null texts and texts without a letter are ``und`` with score 0;
+language, drawn by a hash of the id until the characters are full or the documents end; where all documents of a language are longer, a window of that
+many characters of the shortest one.  Every value of lang with a letter in its sample is learned; over ``most`` (1,000) of them is an error.  Null texts and texts without a letter are ``und`` with score 0;
 so is every text when there is nothing to learn from.  Equal costs go to the first language by name.
 """
 
@@ -89,39 +89,74 @@ class SuffixAutomaton:
         return np.fromiter(self.arcs, np.int64, len(self.arcs)), np.fromiter(self.arcs.values(), np.int32, len(self.arcs)), self.size
 
 
-def parse(arcs: dict[int, int], state: int, codes: list[int]) -> tuple[int, int]:
-    """How many longest-match phrases begin in a sequence, and the state after it; state 0: no phrase is open."""
-    n, get = 0, arcs.get
-    for c in codes:
-        to = get((state << 21) + c) if state else None
-        if to is None:
-            n, to = n + 1, get(c, 0)  # a character that doesn't occur is a phrase of its own
-        state = to
-    return n, state
+class Arcs:
+    """The arcs of all automata as one double array: state s goes by character c to the second half of ``cells[base[s] + c]`` if its first half is s.
+
+    States are placed by falling number of arcs: many at a time at random places, of those that want a cell the first gets it, until all have theirs.
+    Half of the cells stay free; so an arc takes 16 bytes and a state 4, whatever the alphabets.
+    """
+
+    def __init__(self, state: np.ndarray, column: np.ndarray, to: np.ndarray, states: int, width: int):
+        order = np.argsort(state, kind="stable")
+        state, column, to = state[order], column[order], to[order].astype(np.int64)
+        begin, arity = np.searchsorted(state, np.arange(states)), np.bincount(state, minlength=states)
+        size = max(64, 2 * len(state))
+        self.base = np.zeros(states, dtype=np.int32)
+        self.cells = np.full(size + width, -1, dtype=np.int64)
+        r = np.random.default_rng(1)
+        for n in np.unique(arity[arity > 0])[::-1].tolist():
+            todo, vain = np.flatnonzero(arity == n), 0
+            while len(todo):
+                if vain > 64:  # too full for so many arcs at once
+                    self.cells = np.concatenate((self.cells, np.full(size // 4, -1, dtype=np.int64)))
+                    size, vain = size + size // 4, 0
+                some = todo[: max(1, size // (2 * n))]
+                at = r.integers(0, size, len(some))
+                arcs = begin[some][:, None] + np.arange(n)
+                cells = at[:, None] + column[arcs]
+                free = (self.cells[cells] < 0).all(axis=1)
+                _, first = np.unique(np.where(free[:, None], cells, -1 - np.arange(len(some))[:, None]), return_index=True)
+                own = np.zeros(cells.size, dtype=bool)
+                own[first] = True
+                fits = free & own.reshape(cells.shape).all(axis=1)
+                self.base[some[fits]] = at[fits]
+                self.cells[cells[fits]] = some[fits].astype(np.int64)[:, None] << 32 | to[arcs[fits]]
+                vain = 0 if 20 * fits.sum() > len(some) else vain + 1
+                todo = np.concatenate((some[~fits], todo[len(some) :]))
+
+    def follow(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """The states that the arcs lead to; -1 where there is none."""
+        cell = self.cells.take(self.base.take(state) + column)
+        return np.where(cell >> 32 == state, cell & 0xFFFFFFFF, -1)
 
 
 class Parser:
     """The numbers of phrases of texts for several automata (keys, targets, size) at once.
 
-    A row of the table is a state of one automaton, a column a character that any of them knows (column 0: all others).
+    A state is one of one automaton; a column stands for a character that any of them knows, column 0 for all others.  Roots, which
+    have an arc for most characters, have a row each.
     """
 
     def __init__(self, automata: list[tuple[np.ndarray, np.ndarray, int]]):
-        self.automata = automata
-        known = np.unique(np.concatenate([k & ((1 << 21) - 1) for k, _, _ in automata]))
+        code = (1 << 21) - 1
+        known = np.unique(np.concatenate([k & code for k, _, _ in automata]))
         self.column = np.zeros(0x110000, dtype=np.int32)
         self.column[known] = np.arange(1, len(known) + 1)
         self.width = len(known) + 1
         states = [int(max(k.max() >> 21, t.max())) + 1 for k, t, _ in automata]
-        self.root = np.concatenate(([0], np.cumsum(states)[:-1])).astype(np.int32)
-        self.table = np.full(sum(states) * self.width, -1, dtype=np.int32)
-        for (k, t, _), r in zip(automata, self.root.tolist()):
-            self.table[r * self.width : (r + 1) * self.width] = r  # a character that doesn't occur is a phrase of its own
-            self.table[((k >> 21) + r) * self.width + self.column[k & ((1 << 21) - 1)]] = t + r
+        self.root = np.concatenate(([0], np.cumsum(states)[:-1]))
+        # a character that doesn't occur is a phrase of its own: it leads to the root
+        self.first = np.repeat(self.root[:, None], self.width, axis=1)
+        parts = []
+        for n, ((k, t, _), r) in enumerate(zip(automata, self.root.tolist())):
+            s, c = k >> 21, self.column[k & code]
+            self.first[n, c[s == 0]] = t[s == 0] + r
+            parts.append((s[s > 0] + r, c[s > 0], t[s > 0] + r))
+        self.arcs = Arcs(*(np.concatenate(x) for x in zip(*parts)), sum(states), self.width)
 
     def counts(self, texts: list[str]) -> np.ndarray:
         """A row for each text, a column for each automaton."""
-        out = np.zeros((len(texts), len(self.automata)), dtype=np.int64)
+        out = np.zeros((len(texts), len(self.root)), dtype=np.int64)
         size = np.array([len(t) for t in texts], dtype=np.int64)
         for i in np.flatnonzero(size > LONG).tolist():
             out[i] = self._alone(texts[i])
@@ -134,29 +169,36 @@ class Parser:
         start = np.cumsum(size) - size
         active = len(size) - np.searchsorted(size[::-1], np.arange(int(size[0])), side="right")  # texts longer than each place
         state = np.broadcast_to(self.root, (len(order), len(self.root))).copy()
-        n, table, top = np.zeros(state.shape, dtype=np.int64), self.table, self.root.astype(np.int64) * self.width
+        n, first, row = np.zeros(state.shape, dtype=np.int64), self.first.ravel(), np.arange(len(self.root)) * self.width
         for t, m in enumerate(active.tolist()):
             a = codes[start[:m] + t][:, None]
             now = state[:m]
-            to = table.take(now.astype(np.int64) * self.width + a)
-            lost = to < 0
-            n[:m] += lost | (now == self.root)
-            np.copyto(now, np.where(lost, table.take(top + a), to))
+            to = self.arcs.follow(now, a)
+            opens = to < 0  # at the root, too: its arcs are not among the cells
+            n[:m] += opens
+            np.copyto(now, np.where(opens, first.take(row + a), to))
         out[order] = n
         return out
 
     def _alone(self, text: str) -> list[int]:
-        codes = list(map(ord, text))
-        return [parse(arcs, 0, codes)[0] for arcs in self._arcs()]
-
-    @lru_cache(maxsize=1)  # noqa: B019 - one parser a task
-    def _arcs(self) -> list[dict[int, int]]:
-        return [dict(zip(k.tolist(), t.tolist())) for k, t, _ in self.automata]
+        """One text against one automaton after another."""
+        base, cells, out = memoryview(self.arcs.base), memoryview(self.arcs.cells), []
+        codes = self.column[np.frombuffer(text.encode("utf-32-le"), dtype="<u4")]
+        for root, first in zip(self.root.tolist(), self.first):
+            state, n = root, 0
+            for c, top in zip(memoryview(codes), memoryview(first[codes])):
+                cell = cells[base[state] + c]
+                if cell >> 32 == state:
+                    state = cell & 0xFFFFFFFF
+                else:
+                    state, n = top, n + 1
+            out.append(n)
+        return out
 
 
 def _drawn(docs: DataFrame, chars: int, most: int) -> dict[str, list[str]]:
     """For each lang the texts of whole documents by the hash of the id, each that still fits in ``chars``, until 95 % are full; a language whose
-    documents are all longer gives the shortest.  All languages are drawn in the same passes, and about four times ``chars`` of each reach the driver."""
+    documents are all longer gives the first ``chars`` of the shortest.  All languages are drawn in the same passes, and about four times ``chars`` of each reach the driver."""
     top = (1 << 63) - 1
     rows = docs.where("text <> ''").select("lang", F.xxhash64("doc_id").bitwiseAND(F.lit(top)).alias("h"), F.col("doc_id").alias("i"), F.length("text").alias("n"), "text")
     fits = F.col("n") <= chars
@@ -181,7 +223,7 @@ def _drawn(docs: DataFrame, chars: int, most: int) -> dict[str, list[str]]:
         share = {k: min(1.0, 8 * f) for k, f in share.items() if k not in out}
     long = [k for k, n in size.items() if not n]
     if long:
-        shortest = rows.where(F.col("lang").isin(long)).groupBy("lang").agg(F.min(F.struct("n", "h", "i", "text")).alias("m"))
+        shortest = rows.where(F.col("lang").isin(long)).groupBy("lang").agg(F.min(F.struct("n", "h", "i", F.substring("text", 1, chars).alias("text"))).alias("m"))
         out |= {r.lang: [r.m.text] for r in shortest.collect()}
     return out
 
