@@ -19,6 +19,7 @@ Sequence ids are unique over partitions.  Null and empty texts are one end id; a
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.llm.bpe_codec import byte_characters
-from wordloom.llm.common import Memo, id_and_text, read_table, slices
+from wordloom.llm.common import Memo, id_and_text, slices
 
 WINDOW, END_ID = 2048, 1
 SENTENCE, BROKEN, STRIDE = 2, 12, 16
@@ -56,6 +57,9 @@ class ByteTokenizer:
         self.library.no_truncation()
         self.library.no_padding()
         names = self.library.get_vocab(with_added_tokens=False)
+        merged = [names[a + b] for a, b in (m if isinstance(m, list) else m.split(" ") for m in json.loads(self.library.to_str())["model"]["merges"])]
+        if merged != sorted(merged):
+            raise ValueError("the order of the merges isn't that of their ids")
         self.ends = np.zeros(self.library.get_vocab_size() + 1, dtype=bool)
         for s, i in names.items():
             self.ends[i] = s[-1] in ".!?" or "Ċ" in s
@@ -232,4 +236,5 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, id_col: str
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")  # as it lies: dealing a small table over the cores would lose its order
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
