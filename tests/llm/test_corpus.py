@@ -92,7 +92,7 @@ def test_short_texts_fill_the_characters(spark):
 def test_languages_of_long_documents_learn_too(spark):
     docs = spark.createDataFrame([(1, "abc " * 50, "q"), (2, "abd " * 40, "q"), (3, "x", "r"), (None, "yz", "r"), (4, "12", "s"), (5, None, "t")], "doc_id long, text string, lang string")
     model = language.fit(docs, chars=100)
-    assert sorted(model) == ["q", "r"] and model["q"][2] == 161 and model["r"][2] == 6
+    assert sorted(model) == ["q", "r"] and model["q"][2] == 101 and model["r"][2] == 6  # q: 25 words of 100 characters, between spaces
 
 
 def test_phrases_of_a_huge_word(spark):
@@ -117,7 +117,7 @@ def test_phrases_are_longest_matches():
     for _ in range(200):
         ref, text = ("".join(r.choice("abc ") for _ in range(n)) for n in (30, 20))
         text += "z" * r.randint(0, 1)
-        assert language.parse(language.SuffixAutomaton(ref).arcs, 0, list(map(ord, text)))[0] == naive_phrases(ref, text)
+        assert language.Parser([language.SuffixAutomaton(ref).flat()]).counts([text]).tolist() == [[naive_phrases(ref, text)]]
 
 
 def test_texts_in_step_and_alone(monkeypatch):
@@ -132,6 +132,17 @@ def test_texts_in_step_and_alone(monkeypatch):
     assert p.counts(texts_).tolist() == want
 
 
+def test_large_alphabets_take_little_memory():
+    r = random.Random(6)
+    han = [chr(0x4E00 + k) for k in range(4000)]
+    refs = [" " + "".join(r.choice(han) for _ in range(20_000)) + " "] + [" " + "".join(r.choice("abcdefghijklmnopqrst"[k:]) for _ in range(20_000)) + " " for k in range(5)]
+    p = language.Parser([language.SuffixAutomaton(x).flat() for x in refs])
+    arcs = sum(len(language.SuffixAutomaton(x).arcs) for x in refs)
+    assert len(p.arcs.cells) < 3 * arcs + p.width and p.arcs.cells.nbytes + p.arcs.base.nbytes + p.first.nbytes + p.column.nbytes < 20_000_000
+    texts_ = [x[i : i + 40] + "日z" for x in refs for i in (0, 500, 19_000)]
+    assert p.counts(texts_).tolist() == [[naive_phrases(x, t) for x in refs] for t in texts_]
+
+
 def test_language_against_brute_force(spark):
     """The whole prediction, from the formula: fewest phrases times the logarithm of the learned length."""
     r = random.Random(9)
@@ -261,6 +272,21 @@ def test_exact_edges_and_huge_texts(spark, edge):
     assert {(1, 5, 2, False), (5, 5, 2, True), (2, 3, 3, False), (3, 3, 3, True), (7, 7, 2, True), (None, 3, 3, False), (None, None, 1, True)} <= out
 
 
+def test_texts_beyond_the_huge_limit_take_linear_time(spark):
+    import time
+
+    def took(n):
+        docs = spark.createDataFrame([(1,), (2,), (None,)], "doc_id long").withColumn("text", F.concat(F.expr(f"repeat('éA', {n})"), F.coalesce("doc_id", F.lit(1)).cast("string")))
+        began = time.time()
+        r = {x.doc_id: x for x in exact.fingerprints(docs).collect()}
+        assert r[1].n_bytes == 3 * n + 1 and (r[1].fp, r[1].text_sha256) == (r[None].fp, r[None].text_sha256) != (r[2].fp, r[2].text_sha256)
+        assert r[2].text_sha256 == hashlib.sha256(("éa" * n + "2").encode()).hexdigest()
+        return time.time() - began
+
+    took(2_200_000)
+    assert took(9_000_000) < 40
+
+
 def test_chunks_of_huge_texts_are_compared(spark):
     docs = spark.createDataFrame([(1, "aB" * 60000), (2, "Ab" * 60000), (3, "ab" * 60000), (4, "x"), (5, "X"), (6, "y")], "doc_id long, text string")
     found = exact.fingerprints(docs, huge=1000)
@@ -422,6 +448,15 @@ def test_packing(spark, edge):
     assert packing.pack(edge, P.path("byte_bpe_50k.json")).where("start = 0").count() == len(EDGE)
 
 
+def test_packing_keeps_the_order_of_a_small_table(spark, tmp_path):
+    """A table of one file and over a megabyte, which other queries deal over the cores."""
+    text = "".join(random.Random(1).choice("abcdefghij ") for _ in range(400))
+    spark.range(6000).coalesce(1).selectExpr("id AS doc_id", f"concat('{text}', sha2(cast(id AS string), 512)) AS text").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op10_packing(spark, str(tmp_path)).collect()
+    assert [r.doc_id for r in out] == sorted(r.doc_id for r in out) and len({r.doc_id for r in out}) == 6000
+    assert [r.sequence_id for r in out] == sorted(r.sequence_id for r in out)
+
+
 def test_cuts_against_brute_force():
     r = random.Random(6)
     late = 0

@@ -29,8 +29,8 @@ U64 = np.uint64
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table; a small one of few files is dealt over the cores (see columnar), all others are read as they lie."""
-    return columnar(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", most=8 << 20)
+    """The table; one of under 64 MB and few files is dealt over the cores (see columnar), all others are read as they lie."""
+    return columnar(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", most=64 << 20)
 
 
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
