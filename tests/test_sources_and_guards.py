@@ -114,7 +114,7 @@ def test_scans_of_few_files_are_dealt_and_others_are_not(spark, tmp_path):
     rows.limit(0).write.parquet(f"{tmp_path}/none")
     plan = lambda name, **k: readers.columnar(spark, f"{tmp_path}/{name}", **k)._jdf.queryExecution().optimizedPlan().toString()
     assert "Repartition" in plan("one")
-    assert all("Repartition" not in p for p in (plan("one", most=1 << 10), plan("many"), plan("small"), plan("none")))
+    assert all("Repartition" not in p for p in (plan("one", most=2 << 20), plan("many"), plan("small"), plan("none")))
     assert sorted(r.id for r in readers.columnar(spark, f"{tmp_path}/one").select("id").collect()) == list(range(300_000))
 
 

@@ -15,18 +15,19 @@ from pyspark.sql import functions as F
 from wordloom.functions.keys import compact_key, exact_key, lookup_key, record_text, trimmed
 
 HOLDOUTS = ("dev.jsonl", "test.jsonl", "validation.jsonl")
-SMALL_BYTES, SPLIT_BYTES = 1 << 20, 128 << 20
+SMALL_BYTES, DEALT_BYTES = 1 << 20, 256 << 20
 
 
-def columnar(spark: SparkSession, path: str, most: int = SPLIT_BYTES) -> DataFrame:
-    """A Parquet table.  One of fewer files than the session has cores, and of less than ``most`` bytes a core, is dealt over them.
+def columnar(spark: SparkSession, path: str, most: int = DEALT_BYTES) -> DataFrame:
+    """A Parquet table.  One of fewer files than the session has cores, and of less than ``most`` bytes in all, is dealt over them, without its order.
 
     Such a table is often one row group, which no more than one task can read; any other is read as it lies, without a shuffle.
+    The bound doesn't grow with the cluster: no read moves more than that.
     """
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if SMALL_BYTES <= size < cores * most and len(df.inputFiles()) < cores:
+    if SMALL_BYTES <= size < most and len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df
 
