@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions.keys import compact_key, exact_key, lookup_key, record_text, trimmed
+from wordloom.operators import running
 
 HOLDOUTS = ("dev.jsonl", "test.jsonl", "validation.jsonl")
 SMALL_BYTES, DEALT_BYTES = 1 << 20, 256 << 20
@@ -200,16 +201,13 @@ def layers(manifest: list[dict], read: Callable[[dict], DataFrame]) -> DataFrame
 
 
 def marked_block(df: DataFrame, begin: str, end: str) -> DataFrame:
-    """Rows (file, ord, line) between the lines that hold begin and end."""
-    w = Window.partitionBy("file").orderBy("ord")
-    depth = F.sum(F.col("line").contains(begin).cast("int") - F.col("line").contains(end).cast("int")).over(w)
-    return df.withColumn("inside", depth).where((F.col("inside") == 1) & ~F.col("line").contains(begin)).drop("inside")
+    """Rows (file, ord, line) between the lines that hold begin and end; many tasks share a file."""
+    return running.inside(df, ["file"], "ord", F.col("line").contains(begin), F.col("line").contains(end))
 
 
 def within_budget(df: DataFrame, budget: int, by: str = "source", order: str = "ord", text: str = "text") -> DataFrame:
-    """Rows of each input up to, and without, the one that takes the characters over the budget."""
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("_sum", F.sum(F.length(text)).over(w)).where(F.col("_sum") <= budget).drop("_sum")
+    """Rows of each input up to, and without, the one that takes the characters over the budget; many tasks share an input."""
+    return running.until(df, budget, [by], order, F.length(text))
 
 
 def row_counts(spark: SparkSession, path: str) -> DataFrame:
