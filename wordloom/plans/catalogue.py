@@ -279,6 +279,14 @@ QUERIES["pattern_support_join"] = lambda spark, d: patterns.support_joined(
 ORACLES["pattern_support_join"] = ORACLES["pattern_support_scan"]
 
 
+@query(ORACLES["pattern_support_scan"])
+def pattern_support_anchored(spark, d):
+    """The same patterns by rare anchors, as for sets that no task can hold."""
+    docs = table(spark, d, "documents").select(F.lower("text").alias("text"), F.col("doc_id").alias("source"), F.col("lang").alias("domain"))
+    p = counting.tokens(table(spark, d, "benchmark"), ["item_id"]).select(F.col("word").alias("pattern")).where(F.length("pattern").between(6, 9)).distinct()
+    return patterns.support_anchored(docs, p)
+
+
 @query(f"""WITH {_WC}, small AS (SELECT text FROM wc WHERE length(text) BETWEEN 2 AND 8 AND n >= 20), ps AS (SELECT text, unnest(generate_series(0, length(text) - 1)) AS p0 FROM wc),
 su AS MATERIALIZED (SELECT text, p0, k, substring(text, p0 + 1, k) AS span FROM ps, (SELECT unnest(generate_series(2, 8)) AS k) WHERE p0 + k <= length(text)), sp AS (SELECT su.text, p0, k FROM su SEMI JOIN small ON su.span = small.text),
 cv AS (SELECT DISTINCT text, unnest(generate_series(p0, p0 + k - 1)) AS p0, true AS hit FROM sp)
