@@ -128,3 +128,11 @@ def stretches(c: Column, alphabet: str) -> Column:
 def is_name(c: Column, profile: UnitProfile = CJK, least: int = 2, most: int = 8) -> Column:
     """Nothing but units, of bounded length."""
     return c.rlike(f"^[{profile.unit}]{{{least},{most}}}$")
+
+
+def overlapping(text: Column, piece: int, more: int) -> Column:
+    """The text in pieces of ``piece`` units, each with up to ``more`` (at most ``piece``) units of what follows; the text is read once, however long."""
+    if more > piece:
+        raise ValueError("a piece can only be followed by one piece")
+    parts = F.regexp_extract_all(text, F.lit(f"(?s)(.{{1,{piece}}})"), F.lit(1))
+    return F.transform(parts, lambda x, i: F.concat(x, F.left(F.coalesce(F.get(parts, i + 1), F.lit("")), F.lit(more))))

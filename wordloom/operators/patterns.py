@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.bounded import read_bounded, settled
+from wordloom.functions.keys import overlapping
 
 GRAM, BITMAP_BITS, HELD = 8, 1 << 27, 1 << 17
 
@@ -26,7 +27,8 @@ def support_joined(texts: DataFrame, patterns: DataFrame, piece: int = 256) -> D
     """
     lengths = [r.k for r in read_bounded(patterns.select(F.length("pattern").alias("k")).distinct(), 1000)]
     most = max(lengths, default=1)
-    cut = texts.select("source", "domain", F.explode(F.transform(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / piece)), lambda i: F.substring("text", i * piece + 1, F.lit(piece + most - 1)))).alias("t")).where(F.length("t") > 0)
+    piece = max(piece, most)
+    cut = texts.select("source", "domain", F.explode(overlapping(F.col("text"), piece, most - 1)).alias("t"))
     found = None
     for k in lengths:
         at = F.sequence(F.lit(1), F.least(F.lit(piece), F.length("t") - (k - 1)))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions import keys
-from wordloom.functions.bounded import read_bounded, settled
+from wordloom.functions.bounded import settled
 from wordloom.operators import admission, completion, counting, curation, evaluation, fragments, lexicon, patterns, segmentation, single_char, transitions, validation, variants
 from wordloom.sources.readers import columnar
 from wordloom.streaming import incremental
@@ -371,9 +371,13 @@ def leave_one_domain_out_eval(spark, d):
     return evaluation.by_domain(g)
 
 
+#: Words seen less often are segmented, but are no entries of the lexicon.
+LEXICON_COUNT = 20
+
+
 def _stretches(spark, d):
     wc = word_counts(spark, d)
-    return wc.select(F.col("text").alias("stretch"), "n"), wc.where((F.length("text") >= 2) & (F.col("n") >= 20))
+    return wc.select(F.col("text").alias("stretch"), "n"), wc.where((F.length("text") >= 2) & (F.col("n") >= LEXICON_COUNT))
 
 
 _ST = f"{_WC}, lx AS MATERIALIZED (SELECT text FROM wc WHERE length(text) >= 2 AND n >= 20), po AS (SELECT text, unnest(generate_series(0, length(text) - 1)) AS p0 FROM wc), sn AS MATERIALIZED (SELECT po.text, p0, length(lx.text) AS k FROM (SELECT text, p0, k, substring(text, p0 + 1, k) AS span FROM po, (SELECT DISTINCT length(text) AS k FROM lx) WHERE p0 + k <= length(text)) po JOIN lx ON po.span = lx.text AND po.k = length(lx.text))"
@@ -395,14 +399,13 @@ g{i} AS MATERIALIZED (SELECT piece, sum(n)::BIGINT AS n FROM (SELECT n, substrin
 
 @query(f"WITH RECURSIVE {_ST}, {_GREEDY} SELECT piece, n FROM g1")
 def greedy_segmentation_counts(spark, d):
-    """The lexicon is whole; over segmentation.MOST_WORDS words it is an error."""
-    s, words = _stretches(spark, d)
-    return segmentation.piece_counts(s, {r.text: r.n for r in read_bounded(words, segmentation.MOST_WORDS)}, mode="greedy")
+    """The lexicon holds every word of two letters or more and of ``LEXICON_COUNT`` occurrences, however many there are."""
+    return segmentation.piece_counts_of(*_stretches(spark, d), mode="greedy")
 
 
 @query(f"WITH RECURSIVE {_ST}, {_GREEDY}, {', '.join(_likeliest(i) for i in range(2, 7))} SELECT piece, n FROM g6")
 def min_word_segmentation_counts(spark, d):
-    """The lexicon is whole; over segmentation.MOST_WORDS words it is an error."""
+    """The lexicon holds every word of two letters or more and of ``LEXICON_COUNT`` occurrences, however many there are."""
     return segmentation.reestimated(*_stretches(spark, d))
 
 

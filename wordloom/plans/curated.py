@@ -6,9 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wordloom.functions import keys
-from wordloom.functions.bounded import read_bounded
 from wordloom.operators import admission, completion, counting, curation, evaluation, fragments, lexicon, rescoring, segmentation, single_char, transitions, validation, variants
-from wordloom.plans.catalogue import _A, _ACC, _CONV, _EV, _EVN, _G2, _LEX, _SC, _TOK, _WC, _WT, _completions, competition_prior, grams, lex, query, scored, table, tok, word_counts
+from wordloom.plans.catalogue import _A, _ACC, _CONV, _EV, _EVN, _G2, _LEX, _SC, _TOK, _WC, _WT, _completions, _stretches, competition_prior, grams, lex, query, scored, table, tok, word_counts
 from wordloom.streaming import incremental
 
 _B = "".join(_ACC.values())
@@ -290,11 +289,9 @@ def strong_single_pairs(spark, d):
 
 @query()
 def nbest_bigram_priors(spark, d):
-    """Near-best segmentations of all stretches; a test checks them by brute force."""
-    wc = word_counts(spark, d)
-    words = {r.text: r.n for r in read_bounded(wc.where((F.length("text") >= 2) & (F.col("n") >= 20)).select("text", "n"), segmentation.MOST_WORDS)}
-    s = wc.select(F.col("text").alias("stretch"), "n")
-    cut = segmentation.segmented(s, words, mode="nearest").join(s, "stretch")
+    """Near-best segmentations of all stretches by the lexicon of the segmentation counts; a test checks them by brute force."""
+    s, words = _stretches(spark, d)
+    cut = segmentation.segmentations(s, words, mode="nearest").join(s, "stretch")
     return transitions.nbest_priors(cut.select("stretch", "n", "score", "pieces")).withColumn("weight", F.round("weight", 6))
 
 
