@@ -7,10 +7,13 @@ import json
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wordloom.plans.catalogue import _LEX, lex, query, table
+from wordloom.functions import keys
+from wordloom.operators import fragments
+from wordloom.plans.catalogue import _FRAG, _LEX, lex, query, table
 from wordloom.plans.exchange import folder
 from wordloom.sources import archives, external, remote
 from wordloom.sources.readers import bindings
+from wordloom.streaming import stateful
 
 _PLAIN = r"[\x00-\x08\x0B\x0C\x0E-\x1F￾￿]"
 _PLAIN_SQL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]"
@@ -159,3 +162,15 @@ def search_index_scan(spark, d):
     s = table(spark, d, "supplier").groupBy((F.col("s_suppkey") / 500).cast("int").alias("k")).agg(F.collect_list(F.concat(F.lit("part/"), "s_suppkey")).alias("docnames"), F.collect_list("s_name").alias("titles"))
     s.select(F.concat(F.lit("Search.setIndex("), F.to_json(F.struct("docnames", "titles")), F.lit(");")).alias("value"), "k").write.partitionBy("k").text(path)
     return external.search_index(spark, path)
+
+
+@query(f"WITH {_FRAG} SELECT chunk, first(doc_id ORDER BY doc_id, sentence, run, part) AS doc_id FROM f GROUP BY 1")
+def streamed_first_fragments(spark, d):
+    """The first of equal fragments by a stream that is stopped and started again: documents come in three lots, by id."""
+    rows, path = fragments.chunks(table(spark, d, "documents"), keys.LATIN, ["doc_id"]), folder(spark, "stream")
+    cuts = table(spark, d, "documents").approxQuantile("doc_id", [1 / 3, 2 / 3], 0.01)
+    lots = [F.col("doc_id") <= cuts[0], (F.col("doc_id") > cuts[0]) & (F.col("doc_id") <= cuts[1]), F.col("doc_id") > cuts[1]]
+    for k, lot in enumerate(lots):
+        rows.where(lot).write.parquet(f"{path}/in/{k}")
+        stateful.first_wins(stateful.files(spark, f"{path}/in", rows.schema), "chunk", ["doc_id", "sentence", "run", "part"], f"{path}/out", f"{path}/state")
+    return stateful.result(spark, f"{path}/out").select("chunk", "doc_id")
