@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import ahocorasick
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wordloom.functions.bounded import read_bounded
 
 
 def merged_twins(rows: DataFrame, key: list[str], convert: dict[str, Column], better: Column) -> DataFrame:
@@ -105,3 +110,42 @@ def phrase_converter(phrases: dict[str, str], chars: dict[str, str]) -> Callable
         return s.map(one)
 
     return convert
+
+
+def phrase_first(rows: DataFrame, column: str, phrases: DataFrame, chars: dict[str, str], most: int = 500_000) -> DataFrame:
+    """rows with converted and spans (at, length, target): from the left the longest phrase (form, target) at each place, else the character's own form.
+
+    The phrases, at most ``most`` of one target each, travel as an automaton's words; texts are matched in Arrow batches, in one pass however many phrases
+    there are.  Spans tell the places that a phrase decided, in order, for readings that go with it.  A null text stays null, without spans.
+    """
+    found = {r.form: r.target for r in read_bounded(phrases.where("form <> ''").groupBy("form").agg(F.min("target").alias("target")), most)}
+    shared = rows.sparkSession.sparkContext.broadcast((found, {ord(k): v for k, v in chars.items()}))
+    place = rows.columns.index(column)
+    schema = T.StructType([*rows.schema.fields, T.StructField("converted", T.StringType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("length", T.IntegerType()), T.StructField("target", T.StringType())])))])
+
+    def run(batches):
+        words, single = shared.value
+        machine = ahocorasick.Automaton()
+        for w, target in words.items():
+            machine.add_word(w, (len(w), target))
+        machine.make_automaton()
+        for batch in batches:
+            texts, spans = [], []
+            for t in batch.column(place).to_pylist():
+                longest: dict[int, tuple[int, str]] = {}  # of each place where a phrase begins
+                for last, found in machine.iter(t) if t and words else ():
+                    at = last - found[0] + 1
+                    longest[at] = max(longest.get(at, found), found)
+                out, own, end = [], [], 0
+                for at in sorted(longest):
+                    if at >= end:
+                        n, target = longest[at]
+                        out += [t[end:at].translate(single), target]
+                        own.append({"at": at, "length": n, "target": target})
+                        end = at + n
+                texts.append(None if t is None else "".join(out) + t[end:].translate(single))
+                spans.append(own)
+            kind = pa.list_(pa.struct([("at", pa.int32()), ("length", pa.int32()), ("target", pa.string())]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string()), pa.array(spans, kind)], names=[*batch.schema.names, "converted", "spans"])
+
+    return rows.mapInArrow(run, schema)

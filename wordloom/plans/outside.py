@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.functions import keys
-from wordloom.operators import fragments
-from wordloom.plans.catalogue import _FRAG, _LEX, lex, query, table
+from wordloom.functions import generators, keys, syllables
+from wordloom.functions.bounded import read_bounded, settled
+from wordloom.operators import fragments, variants
+from wordloom.plans.catalogue import _A, _B, _FRAG, _LEX, lex, query, table
 from wordloom.plans.exchange import folder
-from wordloom.sources import archives, external, remote
+from wordloom.sources import archives, external, publishing, remote
 from wordloom.sources.readers import bindings
 from wordloom.streaming import stateful
 
@@ -174,3 +176,72 @@ def streamed_first_fragments(spark, d):
         rows.where(lot).write.parquet(f"{path}/in/{k}")
         stateful.first_wins(stateful.files(spark, f"{path}/in", rows.schema), "chunk", ["doc_id", "sentence", "run", "part"], f"{path}/out", f"{path}/state")
     return stateful.result(spark, f"{path}/out").select("chunk", "doc_id")
+
+
+_PH = "ph AS (SELECT DISTINCT text AS form, '<' || upper(left(text, 1)) || '>' AS target FROM lex WHERE length(text) BETWEEN 2 AND 6 AND n >= 50 AND regexp_matches(text, '^[a-z]+$'))"
+
+
+@query(f"""WITH RECURSIVE {_LEX}, {_PH}, w AS (SELECT DISTINCT text FROM lex), po AS (SELECT text, unnest(range(0, length(text))) AS p0 FROM w),
+sn AS (SELECT text, p0, max(struct_pack(k := k, target := target)) AS m FROM (SELECT *, unnest(range(2, 7)) AS k FROM po) x JOIN ph ON substring(text, p0 + 1, k) = form AND length(form) = k GROUP BY 1, 2),
+g AS (SELECT text, 0 AS p0, '' AS converted, 0 AS n, 0 AS units FROM w UNION ALL
+ SELECT g.text, g.p0 + coalesce(m.k, 1), converted || coalesce(m.target, translate(substring(g.text, g.p0 + 1, 1), '{_A}', '{_B}')), n + (m IS NOT NULL)::INT, units + coalesce(m.k, 0)
+ FROM g LEFT JOIN sn ON g.text = sn.text AND g.p0 = sn.p0 WHERE g.p0 < length(g.text))
+SELECT text, converted, n::BIGINT AS phrases, units::BIGINT AS units FROM g WHERE p0 = length(text)""")
+def phrase_first_forms(spark, d):
+    """Words converted by the longest phrases first, then by characters."""
+    x = lex(spark, d)
+    phrases = x.where(F.length("text").between(2, 6) & (F.col("n") >= 50) & F.col("text").rlike("^[a-z]+$")).select(F.col("text").alias("form"), F.concat(F.lit("<"), F.upper(F.left("text", F.lit(1))), F.lit(">")).alias("target")).distinct()
+    out = variants.phrase_first(x.select("text").distinct(), "text", phrases, dict(zip(_A, _B)))
+    units = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return out.select("text", "converted", F.size("spans").cast("long").alias("phrases"), units.alias("units"))
+
+
+_SY = "sy AS (SELECT DISTINCT reading AS s FROM lex WHERE length(reading) BETWEEN 1 AND 4 AND n >= 30)"
+
+
+@query(f"""WITH RECURSIVE {_LEX}, {_SY}, r AS (SELECT DISTINCT reading FROM lex),
+e AS (SELECT reading, a, list(k ORDER BY k) AS ks FROM (SELECT reading, unnest(range(0, length(reading))) AS a FROM r) p, range(1, 5) t(k) WHERE a + k <= length(reading) AND substring(reading, a + 1, k) IN (SELECT s FROM sy) GROUP BY 1, 2),
+dp AS (SELECT reading, length(reading) AS a, [1::BIGINT] AS w, [0::BIGINT] AS f, [1::BIGINT] AS fw, [''] AS p FROM r UNION ALL
+ SELECT reading, a - 1, list_prepend(coalesce(m.w, 0), w), list_prepend(coalesce(m.f, 0), f), list_prepend(coalesce(m.fw, 0), fw), list_prepend(coalesce(m.p, ''), p)
+ FROM (SELECT dp.*, (SELECT struct_pack(w := sum(o.w)::BIGINT, f := min(o.f) + 1, fw := (sum(o.fw) FILTER (o.f = o.least))::BIGINT, p := arg_min(substring(dp.reading, dp.a, o.k) || ' ' || o.p, struct_pack(f := o.f, k := -o.k)))
+   FROM (SELECT *, min(q.f) OVER () AS least FROM (SELECT k, dp.w[k] AS w, dp.f[k] AS f, dp.fw[k] AS fw, dp.p[k] AS p FROM (SELECT unnest(e.ks) AS k)) q WHERE q.w > 0) o) AS m
+  FROM dp LEFT JOIN e ON e.reading = dp.reading AND e.a = dp.a - 1 WHERE dp.a > 0))
+SELECT reading, CASE WHEN w[1] > 0 THEN trim(p[1]) ELSE '' END AS syllables, w[1] AS ways, fw[1] AS fewest FROM dp WHERE a = 0""")
+def parsed_readings(spark, d):
+    """Readings as syllables, and in how many ways they can be read; the syllables are the short readings that occur often."""
+    x = lex(spark, d)
+    table = [r.reading for r in read_bounded(x.where(F.length("reading").between(1, 4) & (F.col("n") >= 30)).select("reading").distinct(), 27**4)]
+    out = x.select("reading").distinct().withColumn("r", syllables.parsed(F.col("reading"), table))
+    return out.select("reading", F.coalesce(F.array_join("r.syllables", " "), F.lit("")).alias("syllables"), "r.ways", "r.fewest")
+
+
+@query("SELECT doc_id, unnest(regexp_extract_all(lower(text), '[aeinorst]+')) AS stretch FROM documents")
+def stretches_in_sql(spark, d):
+    generators.register(spark)
+    table(spark, d, "documents").createOrReplaceTempView("wordloom_documents")
+    return spark.sql("SELECT doc_id, s.stretch FROM wordloom_documents, LATERAL stretches(lower(text), 'aeinorst') s")
+
+
+@query(r"WITH r AS (SELECT doc_id, regexp_replace(text, '[\n\r]+', ' ', 'g') AS r FROM documents), p AS (SELECT doc_id, r, unnest(range(0, CASE WHEN length(r) <= 40 THEN 1 ELSE length(r) - 7 END, 36)) AS p0 FROM r WHERE length(r) >= 8) SELECT doc_id, (p0 / 36)::INT AS part, substring(r, p0 + 1, 40) AS fragment FROM p")
+def fragments_in_sql(spark, d):
+    generators.register(spark)
+    table(spark, d, "documents").createOrReplaceTempView("wordloom_documents")
+    return spark.sql("SELECT doc_id, f.* FROM wordloom_documents, LATERAL fragments(regexp_replace(text, '[\n\r]+', ' '), 8, 40, 4) f")
+
+
+@query(f"WITH {_LEX}, a AS (SELECT reading, text, weight FROM lex WHERE n >= 3), b AS (SELECT reading, text, weight FROM lex) SELECT 'first' AS version, count(*) AS n, sum(weight)::BIGINT AS weight FROM a UNION ALL SELECT 'refused', count(*), sum(weight)::BIGINT FROM a UNION ALL SELECT 'second', count(*), sum(weight)::BIGINT FROM b")
+def published_versions(spark, d):
+    """A lexicon published twice; a version that a check refuses leaves the one before it."""
+    x, path = lex(spark, d).select("reading", "text", "weight", "n"), folder(spark, "published")
+
+    def seen(name):
+        return publishing.read(spark, path).agg(F.lit(name).alias("version"), F.count("*").alias("n"), F.sum("weight").cast("long").alias("weight"))
+
+    publishing.publish(x.where("n >= 3").drop("n"), path)
+    out = [settled(seen("first"))]
+    try:
+        publishing.publish(x.drop("n"), path, {"short words": lambda new: new.where("length(text) >= 1")})
+    except publishing.NotPublished:
+        out.append(settled(seen("refused")))
+    publishing.publish(x.drop("n"), path, {"no reading": lambda new: new.where("reading = ''")})
+    return reduce(DataFrame.unionByName, [*out, seen("second")])
