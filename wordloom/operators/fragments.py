@@ -33,3 +33,18 @@ def first_of_equal(rows: DataFrame, text: str, order: list) -> DataFrame:
 def first_rows(rows: DataFrame, n: int, by: list[str], order: list) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(*order)
     return rows.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= n).drop("_k")
+
+
+def runs(docs: DataFrame, profile: UnitProfile, keep: list[str], text: str = "text") -> DataFrame:
+    """keep, sentence, run, r, mixed, long: the runs of units that chunks() cuts; mixed ones are saved from a sentence that holds other things too, long ones are cut."""
+    p = profile
+    df = docs.select(*keep, F.posexplode(F.split(text, p.sentence_split)).alias("sentence", "s")).withColumn("s", trimmed(F.col("s")))
+    df = df.select(*keep, "sentence", "s", F.posexplode(F.regexp_extract_all(F.col("s"), F.lit(f"({p.run})"), F.lit(1))).alias("run", "r")).where(F.length("r") >= p.min_units)
+    return df.select(*keep, "sentence", "run", "r", (F.col("r") != F.col("s")).alias("mixed"), (F.length("r") > p.max_units).alias("long"))
+
+
+def stream_counters(docs: DataFrame, profile: UnitProfile, text: str = "text") -> DataFrame:
+    """One row: runs, salvaged_mixed_fragments and split_long_runs of a sentence corpus, and the units in them."""
+    r = runs(docs, profile, [], text)
+    number = lambda c: F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0))
+    return r.agg(F.count("*").alias("runs"), number("mixed").alias("salvaged_mixed_fragments"), number("long").alias("split_long_runs"), F.coalesce(F.sum(F.length("r").cast("long")), F.lit(0)).alias("units"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fnmatch import fnmatch
+from fnmatch import fnmatch, translate
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -87,3 +87,17 @@ def files(names: list[str], required: list[str], barred: list[str]) -> list[tupl
     """(rule, name): required files that are missing, and files that match a barred pattern (as of fnmatch) and must not be published."""
     gone = [("missing", r) for r in required if r not in set(names)]
     return gone + sorted(("forbidden", n) for n in names if any(fnmatch(n, p) or fnmatch(n.rsplit("/", 1)[-1], p) for p in barred))
+
+
+def barred_sources(manifest: DataFrame, barred: tuple[str, ...] = ("gpl", "sa", "sharealike", "nc")) -> DataFrame:
+    """Rows of a manifest (license and other columns) whose licence has a barred token; as licences(), for manifests of any size."""
+    tokens = F.split(F.translate(F.lower(F.coalesce("license", F.lit(""))), "-.", "  "), r"\s+")
+    return manifest.where(F.arrays_overlap(tokens, F.array(*[F.lit(b) for b in barred])))
+
+
+def published(names: DataFrame, required: DataFrame, barred: list[str]) -> DataFrame:
+    """rule, name: as files(), for names and required ones (column name) of any number."""
+    plain = F.element_at(F.split("name", "/"), -1)
+    bad = reduce(lambda a, b: a | b, [F.col("name").rlike(f"^{translate(p)}") | plain.rlike(f"^{translate(p)}") for p in barred])
+    gone = required.join(names, "name", "left_anti").select(F.lit("missing").alias("rule"), "name")
+    return gone.unionByName(names.where(bad).select(F.lit("forbidden").alias("rule"), "name"))

@@ -83,7 +83,9 @@ def counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def counts_with_total(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     """A count table whose first line holds the total."""
     df = _fields(lines(spark, path))
-    total = int(df.orderBy("ord").first()["f"][1])
+    # the line at the very start of the first file: a minimum, not a sort
+    first = df.agg(F.min_by("line", F.struct("file", "ord")).alias("line")).first().line
+    total = int(first.split("\t")[1])
     return df.where((F.col("n") >= 2) & ~F.col("line").startswith("#")).select(_field(0).alias("text"), F.expr("try_cast(f[1] AS BIGINT)").alias("n")).where("n IS NOT NULL"), total
 
 
@@ -110,6 +112,13 @@ def json_corpus(spark: SparkSession, path: str) -> DataFrame:
     return df.select(record.alias("source"), F.regexp_replace(name, r"\.jsonl?(\..*)?$", "").alias("domain"), "ord", F.explode(record_text(F.col("line"))).alias("text"))
 
 
+def held_out(spark: SparkSession, path: str) -> DataFrame:
+    """file of the held-out files that json_corpus leaves out, counted without being read."""
+    name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.(zst|gz)$", "")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    return files.where(name.isin(*HOLDOUTS)).select(F.col("path").alias("file"))
+
+
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
     """source, id, text of JSON lines, plain or compressed: text or else content; source or dataset or else the file; id, doc_id, doc_hash or else the row's place."""
     df = lines(spark, path).where(F.col("file").rlike(r"\.jsonl?(\.zst|\.gz)?$"))
