@@ -12,9 +12,11 @@ Conventions that hold for every operator of this subpackage:
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import secrets
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -181,6 +183,38 @@ class Words:
         return b" ".join([raw[a - o : b - o] for a, b in zip(s, e)])
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int]:
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda _: 0
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers live on, and what a block's arrays took would stay with them."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def released(block: Callable) -> Callable:
+    """The function of a group (key and one or two tables), with memory given back after each."""
+
+    def one(key, table):
+        try:
+            return block(key, table)
+        finally:
+            release()
+
+    def two(key, left, right):
+        try:
+            return block(key, left, right)
+        finally:
+            release()
+
+    return two if block.__code__.co_argcount == 3 else one
+
+
 def window_hash(h: np.ndarray, width: int, seed: int) -> np.ndarray:
     """A hash of every ``width`` consecutive entries of h (length len(h) - width + 1): a sum with odd factors drawn by the seed."""
     n = len(h) - width + 1
@@ -266,6 +300,7 @@ def blocked(docs: DataFrame, blocks: int, carry: tuple[str, ...] = ()) -> DataFr
                         w.write_batch(table.slice(i, j - i))
                     packed.append(sink.getvalue().to_pybytes())
                 yield pa.record_batch([pa.array(values, pa.int32()), pa.array(packed, pa.binary())], names=["b", "packed"])
+        release()
 
     rows = docs.select("doc_id", "text", *carry).withColumn("block", block_of(blocks)).mapInArrow(run, "b int, packed binary")
     # with fewer partitions than a shuffle has, the joins by block would deal the texts anew

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.llm.common import U64, Words, block_of, blocked, blocks_for, dealt, id_and_text, mix, new_seed, read_table, saved, slices, unpacked, window_hash
+from wordloom.llm.common import U64, Words, block_of, blocked, blocks_for, dealt, id_and_text, mix, new_seed, read_table, released, saved, slices, unpacked, window_hash
 
 N, PERCENT, GROUP = 5, 80, 768
 TO = pa.list_(pa.struct([("leader", pa.int64()), ("i", pa.int32()), ("j", pa.int32())]))
@@ -340,8 +340,8 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
         out = [step[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends)]
         return pa.table([table.column("b"), table.column("shard"), pa.array(out, pa.binary())], names=["b", "shard", "steps"])
 
-    counts = by_block.cogroup(chosen.groupBy("b")).applyInArrow(rests, "b int, shard int, rest binary")
-    counts = counts.groupBy("shard").applyInArrow(counted, "b int, shard int, steps binary")
+    counts = by_block.cogroup(chosen.groupBy("b")).applyInArrow(released(rests), "b int, shard int, rest binary")
+    counts = counts.groupBy("shard").applyInArrow(released(counted), "b int, shard int, steps binary")
     none = F.lit(None)
     told = saved(counts.select("b", "shard", "steps", none.cast("long").alias("rep"), none.cast("long").alias("h1")).unionByName(chosen.select("b", none.cast("int").alias("shard"), none.cast("binary").alias("steps"), "rep", "h1")))
 
@@ -362,7 +362,7 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
         cat = lambda x: np.concatenate([np.zeros(0, np.int64), *x])
         return pa.table([pa.array(cat(d)), pa.array(cat(t))], names=["id", "token"])
 
-    firsts = by_block.cogroup(told.groupBy("b")).applyInArrow(first, "id long, token long")
+    firsts = by_block.cogroup(told.groupBy("b")).applyInArrow(released(first), "id long, token long")
     firsts = saved(firsts)
     lead = firsts.groupBy("token").agg(F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id"))).getField("id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
     meets = saved(firsts.join(lead, "token").select("id", "leader").distinct())
@@ -384,7 +384,7 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
         """The sets at the cells (leader, i, j) that to (id, leader, i, j) names; the JVM makes the copies, one by one."""
         going = to.groupBy("id").agg(F.collect_list(F.struct("leader", "i", "j")).alias("to"))
         going = going.join(chosen, going.id == chosen.rep).select("b", "id", "h1", "to")
-        sets = by_block.cogroup(going.groupBy("b")).applyInArrow(sets_of, "id long, set binary, to array<struct<leader: bigint, i: int, j: int>>")
+        sets = by_block.cogroup(going.groupBy("b")).applyInArrow(released(sets_of), "id long, set binary, to array<struct<leader: bigint, i: int, j: int>>")
         return sets.select("id", "set", F.explode("to").alias("at")).select("at.leader", "at.i", "at.j", "id", "set").groupBy("leader", "i", "j")
 
     def linked(key, table):

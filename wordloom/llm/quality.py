@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.llm.common import Memo, id_and_text, read_table, remainder, slices
+from wordloom.llm.common import Memo, id_and_text, read_table, release, remainder, slices
 
 BUCKETS, WIDTH, SHORT, LONG = 1 << 17, 8, 3, 5
 AGAIN, CALM = 0, 60
@@ -143,7 +143,7 @@ def quality_scores(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str
         def word(w):
             return sum((complex(sum(map(weights.__getitem__, f)), len(f)) for f in _pieces(w)), 0j)
 
-        memo, again = _Words(word, word), complex(weights[AGAIN], 1)
+        memo, again = _Words(word, word, 1 << 18), complex(weights[AGAIN], 1)
 
         def text(t):
             words = (t or "").split()
@@ -155,6 +155,8 @@ def quality_scores(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str
                 z = sums.real / (sums.imag + CALM) + bias
                 cols = {f: part.column(k) for k, f in enumerate(part.schema.names) if f != "scored_text"}
                 yield pa.record_batch([*cols.values(), pa.array(1 / (1 + np.exp(-np.clip(z, -60, 60))))], names=[*cols, "score"])
+        memo.clear()
+        release()
 
     return base.mapInArrow(run, schema)
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from wordloom.llm.common import U64, Words, blocked, blocks_for, dealt, mix, new_seed, read_table, saved, unpacked, window_hash
+from wordloom.llm.common import U64, Words, blocked, blocks_for, dealt, mix, new_seed, read_table, released, saved, unpacked, window_hash
 
 WIDTH, LOCAL, HIGH, LONG = 13, 1, (11, 13), 20
 NO_ID = -(1 << 63)
@@ -289,8 +289,8 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
         bits = _earlier([x.as_py() for x in table.column("long")], [_owned(x.as_py()) for x in table.column("owners")])
         return pa.table([table.column("b"), table.column("shard"), pa.array(_recurs(small), binary), pa.array(bits, binary)], names=["b", "shard", "bits", "long"])
 
-    names = by_block.applyInArrow(symbols, "b int, shard int, names binary, owners binary, long binary")
-    answers = saved(names.groupBy("shard").applyInArrow(shared, "b int, shard int, bits binary, long binary"))
+    names = by_block.applyInArrow(released(symbols), "b int, shard int, names binary, owners binary, long binary")
+    answers = saved(names.groupBy("shard").applyInArrow(released(shared), "b int, shard int, bits binary, long binary"))
 
     def opened(table, told):
         """The block, and its windows by the answers of the first step."""
@@ -309,8 +309,8 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
         return pa.table([table.column("b"), table.column("shard"), pa.array(bits, binary)], names=["b", "shard", "bits"])
 
     told = answers.withColumn("step", F.lit(1))
-    found = by_block.cogroup(told.groupBy("b")).applyInArrow(windows, "b int, shard int, owners binary, hashes binary")
-    found = found.groupBy("shard").applyInArrow(earlier, "b int, shard int, bits binary")
+    found = by_block.cogroup(told.groupBy("b")).applyInArrow(released(windows), "b int, shard int, owners binary, hashes binary")
+    found = found.groupBy("shard").applyInArrow(released(earlier), "b int, shard int, bits binary")
     told = told.unionByName(found.select("b", "shard", "bits", F.lit(None).cast("binary").alias("long"), F.lit(2).alias("step")))
     schema = T.StructType([*base.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
@@ -337,7 +337,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, carry: list[str] | None
         cols |= {"n_words": pa.array(np.diff(first), pa.int64()), "n_removed": pa.array(before[first[1:]] - before[first[:-1]], pa.int64())}
         return pa.table(cols)
 
-    return by_block.cogroup(told.groupBy("b")).applyInArrow(cut, schema)
+    return by_block.cogroup(told.groupBy("b")).applyInArrow(released(cut), schema)
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
