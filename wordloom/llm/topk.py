@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordloom.llm.common import blocks_for, read_table
 
@@ -127,7 +128,7 @@ def _unpacked(raw: bytes, rows: int, width: int) -> np.ndarray:
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding", blocks: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the best k candidates of every query."""
-    found = vectors(candidates, id_col, vector_col)
+    found, k_best = vectors(candidates, id_col, vector_col), k
     blocks = blocks or max(BLOCKS, blocks_for(candidates.select(vector_col), TABLE_BYTES, vector_col))
     asked = vectors(queries, id_col, vector_col)
 
@@ -141,20 +142,27 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, scale: int = SC
     query_blocks = max(1, blocks_for(queries.select(vector_col), TABLE_BYTES, vector_col) // 2)
     c = found.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).groupBy("b").applyInArrow(pack, packed)
     q = asked.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")).groupBy("b").applyInArrow(pack, packed)
-    q = q.withColumnsRenamed({"b": "qb", "width": "q_width", "ids": "q_ids", "w": "q_w"}).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # a block's candidates come to its task once, in front of all query blocks; nothing else holds more than a row of each
+    width = T.StructType.fromDDL("b int, kind int, qb int, width int, ids binary, w binary")
+    c = c.select("b", F.lit(0).alias("kind"), F.lit(-1).alias("qb"), "width", "ids", "w")
+    q = q.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), F.lit(1).alias("kind"), F.col("b").alias("qb"), "width", "ids", "w")
+    met = c.unionByName(q).repartition(blocks, "b").sortWithinPartitions("b", "kind", "qb").to(width)
 
     def search(batches):
-        last, postings = None, None
+        block, postings = None, None
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["b"] != last:
-                    last = row["b"]
-                    postings = Postings(np.frombuffer(row["ids"], "<i8"), _unpacked(row["w"], len(row["ids"]) // 8, row["width"]))
-                ids = np.frombuffer(row["q_ids"], "<i8")
-                w = _unpacked(row["q_w"], len(ids), row["q_width"]).astype(np.int64)
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                ids = np.frombuffer(row["ids"], "<i8")
+                if not row["kind"]:
+                    block, postings = row["b"], Postings(ids, _unpacked(row["w"], len(ids), row["width"]))
+                    continue
+                if row["b"] != block:
+                    continue  # no candidate in this block
+                w = _unpacked(row["w"], len(ids), row["width"]).astype(np.int64)
                 for i in range(0, len(ids), QUERY_ROWS):
                     part = ids[i : i + QUERY_ROWS]
-                    r, v, s = postings.best(part, w[i : i + QUERY_ROWS], k)
+                    r, v, s = postings.best(part, w[i : i + QUERY_ROWS], k_best)
                     yield pa.record_batch([pa.array([row["qb"] << 20 | i // QUERY_ROWS], pa.int64()), pa.array([part[r].tobytes()], pa.binary()), pa.array([(np.arange(len(ids))[i : i + QUERY_ROWS][r]).astype("<i8").tobytes()], pa.binary()), pa.array([v.tobytes()], pa.binary()), pa.array([s.astype("<i8").tobytes()], pa.binary())], names=["part", "q", "row", "v", "s"])
 
     def merge(key, table):
@@ -166,7 +174,6 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, scale: int = SC
         keep = rank <= k
         return pa.table([pa.array(q[keep]), pa.array(rank[keep].astype(np.int32)), pa.array(v[keep]), pa.array(s[keep])], names=["query_id", "rank", "vec_id", "score"])
 
-    met = c.join(q.hint("shuffle_merge"), "b")
     return met.mapInArrow(search, "part long, q binary, row binary, v binary, s binary").groupBy("part").applyInArrow(merge, SCHEMA)
 
 
