@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def main_readings(rows: DataFrame, lead: int = 100) -> DataFrame:
@@ -28,24 +32,41 @@ def redistributed(rows: DataFrame, use: DataFrame, lead: int = 100) -> DataFrame
     return rows.join(new, ["reading", "char"], "left").select("reading", "char", F.coalesce("moved", "weight").alias("weight"), "ord")
 
 
+def _settled(rows: DataFrame, asked: DataFrame, settle: Callable[[dict, list[dict]], dict], value: str, kind: T.DataType) -> DataFrame:
+    """rows (reading, char, value) with each reading that is asked about settled by itself, in one row of its few characters; the others stay as they are."""
+    have = rows.groupBy("reading").agg(F.collect_list(F.struct("char", value)).alias("have"))
+    want = asked.groupBy("reading").agg(F.sort_array(F.collect_list(F.struct(*[c for c in asked.columns if c != "reading"]))).alias("want"))
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for reading, have, want in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                out += [(reading, c, v) for c, v in settle({x["char"]: x[value] for x in have}, want).items()]
+            yield pa.record_batch([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], to_arrow_type(kind))], names=["reading", "char", value])
+
+    schema = T.StructType([T.StructField("reading", T.StringType()), T.StructField("char", T.StringType()), T.StructField(value, kind)])
+    moved = have.join(want, "reading").select("reading", "have", "want").mapInArrow(run, schema)
+    return moved.unionByName(rows.join(want.select("reading"), "reading", "left_anti").select("reading", "char", F.col(value).cast(kind)))
+
+
 def lifted(rows: DataFrame, samples: DataFrame, rounds: int = 100) -> DataFrame:
     """Estimates (reading, char, rate) raised until each sample (reading, char, max_rank) holds: a sample out of its rank goes just above
     the lowest of those within it.  A reading's characters are few, so each reading is settled by itself."""
 
-    def settle(rows: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        rate = dict(zip(rows["char"], rows["rate"]))
+    def settle(rate: dict[str, float], wanted: list[dict]) -> dict[str, float]:
         for _ in range(rounds):
             moved = False
-            for c, most in zip(wanted["char"], wanted["max_rank"]):
+            for w in wanted:
+                c, most = w["char"], w["max_rank"]
                 order = sorted(rate, key=lambda x: (-rate[x], x))
                 if c in rate and order.index(c) >= most:
                     rate[c] = rate[order[int(most) - 1]] * (1 + 1e-9) + 1e-12
                     moved = True
             if not moved:
                 break
-        return rows.assign(rate=rows["char"].map(rate))
+        return rate
 
-    return rows.groupBy("reading").cogroup(samples.groupBy("reading")).applyInPandas(settle, rows.select("reading", "char", "rate").schema)
+    return _settled(rows.select("reading", "char", "rate"), samples.select("reading", "char", "max_rank"), settle, "rate", T.DoubleType())
 
 
 def led(rows: DataFrame, forms: DataFrame) -> DataFrame:
@@ -55,23 +76,21 @@ def led(rows: DataFrame, forms: DataFrame) -> DataFrame:
     and weighs halfway between its new neighbours.
     """
 
-    def place(rows: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
-        weight = dict(zip(rows["char"], rows["weight"]))
-        for leader, g in group.groupby("leader", sort=True):
-            mine = [c for c in g["char"] if c in weight]
-            if leader not in weight or len(mine) < 2:
+    def settle(weight: dict[str, int], forms: list[dict]) -> dict[str, int]:
+        for leader in sorted({f["leader"] for f in forms}):
+            estimate = {f["char"]: f["estimate"] for f in forms if f["leader"] == leader and f["char"] in weight}
+            if leader not in weight or len(estimate) < 2:
                 continue
-            weight[leader] = max(weight[c] for c in mine)
+            weight[leader] = max(weight[c] for c in estimate)
             above = leader
-            for c in sorted((c for c in mine if c != leader), key=lambda c: (-float(g.loc[g["char"] == c, "estimate"].iloc[0]), c)):
-                lower = [w for x, w in weight.items() if w < weight[above] and x not in mine]
+            for c in sorted((c for c in estimate if c != leader), key=lambda c: (-float(estimate[c]), c)):
+                lower = [w for x, w in weight.items() if w < weight[above] and x not in estimate]
                 if weight[c] >= weight[above]:
                     weight[c] = round((weight[above] + (max(lower) if lower else 0)) / 2)
                 above = c
-        return rows.assign(weight=rows["char"].map(weight).astype("int64"))
+        return weight
 
-    out = rows.select("reading", "char", F.col("weight").cast("long"))
-    return out.groupBy("reading").cogroup(forms.groupBy("reading")).applyInPandas(place, out.schema)
+    return _settled(rows.select("reading", "char", F.col("weight").cast("long").alias("weight")), forms.select("reading", "leader", "char", "estimate"), settle, "weight", T.LongType())
 
 
 def raised_over(rows: DataFrame, order: DataFrame) -> DataFrame:
