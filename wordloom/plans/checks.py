@@ -44,11 +44,11 @@ def transition_completion_violations(spark, d):
     return counted(validation.transition_completion(rows.unionByName(rows.where(r == 4)).drop("rank"), most=99))
 
 
-@query("SELECT p_partkey, p_type AS license FROM part WHERE len(list_intersect(string_split(lower(translate(p_type, '-.', '  ')), ' '), ['copper', 'tin'])) > 0")
+@query("SELECT p_partkey, p_type || '-' || p_brand || ' 1.0' AS license FROM part WHERE p_type IN ('PROMO', 'ECONOMY')")
 def barred_licences(spark, d):
-    """Parts as sources, their types as licences, two metals as barred tokens."""
-    manifest = table(spark, d, "part").select("p_partkey", F.col("p_type").alias("license"))
-    return validation.barred_sources(manifest, ("copper", "tin"))
+    """Parts as sources, their types and brands as licences, two types as barred tokens."""
+    manifest = table(spark, d, "part").select("p_partkey", F.concat("p_type", F.lit("-"), "p_brand", F.lit(" 1.0")).alias("license"))
+    return validation.barred_sources(manifest, ("promo", "economy"))
 
 
 @query("WITH n AS (SELECT DISTINCT event_type || '/' || user_id || CASE WHEN user_id % 7 = 0 THEN '.zip' ELSE '.tsv' END AS name FROM events), q AS (SELECT DISTINCT 'view/' || c_custkey || '.tsv' AS name FROM customer) SELECT 'missing' AS rule, name FROM q WHERE name NOT IN (SELECT name FROM n) UNION ALL SELECT 'forbidden', name FROM n WHERE name LIKE '%.zip' OR name LIKE 'error/%'")
