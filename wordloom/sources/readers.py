@@ -19,8 +19,9 @@ HOLDOUTS = ("dev.jsonl", "test.jsonl", "validation.jsonl")
 SMALL_BYTES, DEALT_BYTES = 1 << 20, 256 << 20
 
 
-def columnar(spark: SparkSession, path: str, most: int = DEALT_BYTES) -> DataFrame:
-    """A Parquet table.  One of fewer files than the session has cores, and of less than ``most`` bytes in all, is dealt over them, without its order.
+def columnar(spark: SparkSession, path: str, most: int = DEALT_BYTES, ordered: bool = False) -> DataFrame:
+    """A Parquet table.  One of fewer files than the session has cores, and of less than ``most`` bytes in all, is dealt over them: in no
+    order, or in ranges that keep the order in which it is read.
 
     Such a table is often one row group, which no more than one task can read; any other is read as it lies, without a shuffle.
     The bound doesn't grow with the cluster: no read moves more than that.
@@ -29,7 +30,10 @@ def columnar(spark: SparkSession, path: str, most: int = DEALT_BYTES) -> DataFra
     cores = spark.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if SMALL_BYTES <= size < most and len(df.inputFiles()) < cores:
-        return df.repartition(cores)
+        if not ordered:
+            return df.repartition(cores)
+        place = "__place"
+        return df.withColumn(place, F.monotonically_increasing_id()).repartitionByRange(cores, place).sortWithinPartitions(place).drop(place)
     return df
 
 
