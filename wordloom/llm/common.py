@@ -30,9 +30,9 @@ SLICE_BYTES = 4 << 20
 U64 = np.uint64
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, ordered: bool = False) -> DataFrame:
     """The table; one of under 64 MB and few files is dealt over the cores (see columnar), all others are read as they lie."""
-    return columnar(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", most=64 << 20)
+    return columnar(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", most=64 << 20, ordered=ordered)
 
 
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.llm.bpe_codec import byte_characters
-from wordloom.llm.common import Memo, id_and_text, slices
+from wordloom.llm.common import Memo, id_and_text, read_table, slices
 
 WINDOW, END_ID = 2048, 1
 SENTENCE, BROKEN, STRIDE = 2, 12, 16
@@ -236,5 +236,5 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, id_col: str
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")  # as it lies: dealing a small table over the cores would lose its order
+    docs = read_table(spark, sf_dir, "documents", ordered=True)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
