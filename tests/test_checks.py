@@ -1,7 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
-
 from wordloom.functions import keys
 from wordloom.operators import fragments, query_paths, single_char, validation
 from wordloom.sources import readers

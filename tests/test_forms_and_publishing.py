@@ -34,9 +34,10 @@ def test_longest_phrases_come_first(spark, seed):
     assert (None, None, []) in got
 
 
-def test_longer_phrases_win_over_those_inside():
-    phrases = {"巨细": "鉅細", "巨细胞": "巨細胞"}
-    assert plain_conversion("巨细胞病毒", phrases, {})[0] == "巨細胞病毒"
+def test_longer_phrases_win_over_those_inside(spark):
+    phrases = spark.createDataFrame([("巨细", "鉅細"), ("巨细胞", "巨細胞")], "form string, target string")
+    df = spark.createDataFrame([("巨细胞病毒",), ("事无巨细",)], "t string")
+    assert {r.t: r.converted for r in variants.phrase_first(df, "t", phrases, {"无": "無"}).collect()} == {"巨细胞病毒": "巨細胞病毒", "事无巨细": "事無鉅細"}
 
 
 def test_a_hundred_thousand_phrases(spark):

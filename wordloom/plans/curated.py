@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import keys
 from wordloom.operators import admission, completion, counting, curation, evaluation, fragments, lexicon, rescoring, segmentation, single_char, transitions, validation, variants
-from wordloom.plans.catalogue import _A, _ACC, _CONV, _EV, _EVN, _G2, _LEX, _SC, _TOK, _WC, _WT, _completions, _stretches, competition_prior, grams, lex, query, scored, table, tok, word_counts
+from wordloom.plans.catalogue import _A, _ACC, _CONV, _EV, _EVN, _G2, _LEX, _SC, _TOK, _WC, _WT, _stretches, competition_prior, lex, query, scored, table, tok, word_counts
 from wordloom.streaming import incremental
 
 _B = "".join(_ACC.values())
