@@ -363,8 +363,7 @@ def leave_one_domain_out_eval(spark, d):
     wanted = lexicon.best(c, ["lang", "reading"], ["n"], ["text"]).select("lang", "reading", F.col("text").alias("wanted"))
     # a word's count outside a domain is its total less the domain's own: nothing is joined domain by domain
     total = c.groupBy("reading", "text").agg(F.sum("n").alias("total"))
-    langs = c.select("lang").distinct().agg(F.collect_set("lang").alias("langs"))
-    spread = total.join(F.broadcast(langs)).select("reading", "text", "total", F.explode("langs").alias("lang"))
+    spread = wanted.select("lang", "reading").join(total, "reading")  # only what a domain asks for
     rest = spread.join(c, ["lang", "reading", "text"], "left").withColumn("rest", F.col("total") - F.coalesce("n", F.lit(0))).where("rest > 0")
     out = lexicon.best(rest, ["lang", "reading"], ["rest"], ["text"]).select("lang", "reading", F.col("text").alias("output"))
     g = wanted.join(current, "reading").join(out, ["lang", "reading"], "left").select(F.col("lang").alias("domain"), "wanted", "current", F.coalesce("output", "current").alias("output"))
